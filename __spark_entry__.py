@@ -29,7 +29,6 @@ from sortilex.operators import (  # noqa: E402
     confusion_matrix,
     decode_category,
     encode_category,
-    fit_classifier,
     load_classifier,
     long_metrics,
     reject_unknown_category,
@@ -108,16 +107,23 @@ def record_runs(spark, sf_dir):
     return read_metrics(spark, path)
 
 
-def ingest_files(spark, sf_dir):
-    """Every document written as a file of its own in its source's folder, read back."""
+def write_raw_files(spark, sf_dir):
+    """Every document as a file of its own in its source's folder."""
     folder = run_folder(spark, "raw_files")
     (
         _documents(spark, sf_dir)
         .select("text", "source")
+        # Creating files takes the time here, so all cores share it.
+        .repartition(spark.sparkContext.defaultParallelism)
         .write.option("maxRecordsPerFile", 1)
         .partitionBy("source")
         .text(folder)
     )
+    return folder
+
+
+def ingest_files(spark, sf_dir):
+    folder = write_raw_files(spark, sf_dir)
     return ingest_text_files(spark, folder, path_glob="*.txt").select("folder", "content")
 
 
@@ -213,19 +219,25 @@ def rule_metrics(spark, sf_dir, held_out):
 
 # --- fitted models -----------------------------------------------------------
 
-_fitted: dict[tuple[str, str], tuple[PipelineModel, str, DataFrame]] = {}
+_fitted: dict[tuple[str, str], tuple[PipelineModel, str]] = {}
+
+
+def fit_language(spark, sf_dir):
+    """Held-out metrics of a language classifier fitted on the train rows."""
+    examples = prepare_examples(_documents(spark, sf_dir), "lang", LANGS)
+    path = run_folder(spark, "language_model")
+    model, metrics = fit_and_evaluate(
+        examples, run_folder(spark, "examples"), ClassifierParams(), LANGS, path
+    )
+    _fitted[spark.sparkContext.applicationId, sf_dir] = model, path
+    return metrics
 
 
 def _language_model(spark, sf_dir):
-    """The language classifier of these tables, its folder and held-out metrics."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The language classifier of these tables, fitted once, and its folder."""
+    key = spark.sparkContext.applicationId, sf_dir
     if key not in _fitted:
-        examples = prepare_examples(_documents(spark, sf_dir), "lang", LANGS)
-        path = run_folder(spark, "language_model")
-        model, metrics = fit_and_evaluate(
-            examples, run_folder(spark, "examples"), ClassifierParams(), LANGS, path
-        )
-        _fitted[key] = model, path, metrics
+        fit_language(spark, sf_dir)
     return _fitted[key]
 
 
@@ -246,11 +258,6 @@ def _settings(spark, categories):
     )
 
 
-def fit_language(spark, sf_dir):
-    """Held-out metrics of a language classifier fitted on the train rows."""
-    return _language_model(spark, sf_dir)[2]
-
-
 def fit_quality(spark, sf_dir):
     """Held-out metrics of a quality classifier fitted on the labelled train rows."""
     labelled = attach_labels(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
@@ -273,13 +280,13 @@ def train_language(spark, sf_dir):
 
 
 def score_documents(spark, sf_dir):
-    model, _, _ = _language_model(spark, sf_dir)
+    model, _ = _language_model(spark, sf_dir)
     scored = score_table(_documents(spark, sf_dir), model, _settings(spark, LANGS))
     return scored.select("doc_id", "prediction", "predicted_category", "confidence")
 
 
 def _stream_scores(spark, sf_dir):
-    model, _, _ = _language_model(spark, sf_dir)
+    model, _ = _language_model(spark, sf_dir)
     settings = _settings(spark, LANGS)
     arriving = _arriving(spark, sf_dir, "documents")
     endpoint = settings.stg_serving_endpoint_name
@@ -308,21 +315,13 @@ def stream_equals_batch(spark, sf_dir):
 
 
 def reloaded_model_scores(spark, sf_dir):
-    model, path, _ = _language_model(spark, sf_dir)
+    model, path = _language_model(spark, sf_dir)
     cut = _cut_documents(spark, sf_dir)
     return _same_scores(
         score_batch(cut, model, LANGS), score_batch(cut, load_classifier(path), LANGS)
     )
 
 
-def refitted_model_scores(spark, sf_dir):
-    """A model without the saved one's train rows order or files predicts alike."""
-    examples = prepare_examples(_documents(spark, sf_dir), "lang", LANGS)
-    refitted = fit_classifier(examples.filter("split = 'train'"), ClassifierParams(), LANGS)
-    scored = score_batch(_cut_documents(spark, sf_dir), refitted, LANGS)
-    return scored.select("doc_id", "prediction", "predicted_category", "confidence")
-
-
 def _score_embeddings(df):
     """A user's model: the first nine dimensions are the scores of nine classes."""
 
