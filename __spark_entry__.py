@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from sortilex import Settings  # noqa: E402
-from sortilex.functions import has_text  # noqa: E402
 from sortilex.operators import (  # noqa: E402
     ClassifierParams,
     category_domain,
@@ -45,6 +44,7 @@ from sortilex.plans import (  # noqa: E402
     score_table,
     serve,
     train,
+    with_text,
 )
 from sortilex.sources import (  # noqa: E402
     ingest_text_files,
@@ -260,8 +260,8 @@ def _settings(spark, categories):
 
 def fit_quality(spark, sf_dir):
     """Held-out metrics of a quality classifier fitted on the labelled train rows."""
-    labelled = attach_labels(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
-    examples = labelled.filter(has_text(F.col("truncated_text"))).select(
+    usable = with_text(_documents(spark, sf_dir))
+    examples = attach_labels(usable, _table(spark, sf_dir, "labels")).select(
         "doc_id", "truncated_text", F.col("quality").alias("label")
     )
     _, metrics = fit_and_evaluate(

@@ -7,6 +7,7 @@ from .text import (
     first_chars,
     first_tokens,
     has_text,
+    has_token,
     more_chars_than,
     more_tokens_than,
     token_count,
@@ -18,6 +19,7 @@ __all__ = [
     "first_chars",
     "first_tokens",
     "has_text",
+    "has_token",
     "is_known_category",
     "more_chars_than",
     "more_tokens_than",

@@ -19,6 +19,11 @@ def has_text(text: Column) -> Column:
     return F.coalesce(F.octet_length(text) > 0, F.lit(False))
 
 
+def has_token(text: Column) -> Column:
+    """True if the text has a token; stops at the first."""
+    return F.coalesce(text.rlike(WORD), F.lit(False))
+
+
 def _leading_tokens(text: Column, n: int) -> Column:
     # Possessive quantifiers: one pass, no backtracking, no recursion for large
     # n, and the scan stops after n tokens however long the text is.

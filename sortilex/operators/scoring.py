@@ -10,15 +10,15 @@ from pyspark.sql import types as T
 
 from ..functions import category_name, has_text
 from ..settings import CATEGORY_LIST, check_categories
-from .classifier import TEXT_COL
+from .classifier import TEXT_COL, WORK_COLS
 
 SCORE_COLS = ("prediction", "predicted_category", "confidence")
 
 
-def _check_free(df: DataFrame) -> None:
-    taken = [name for name in SCORE_COLS if name in df.columns]
+def _check_free(df: DataFrame, names) -> None:
+    taken = [name for name in names if name in df.columns]
     if taken:
-        raise ValueError(f"the input already has the score columns {taken}")
+        raise ValueError(f"scoring needs these column names, which the input has: {taken}")
 
 
 def score_batch(df: DataFrame, model: PipelineModel, categories=CATEGORY_LIST) -> DataFrame:
@@ -28,7 +28,7 @@ def score_batch(df: DataFrame, model: PipelineModel, categories=CATEGORY_LIST) -
     one whose ``truncated_text`` is null or empty gets null scores. Works on a
     stream too.
     """
-    _check_free(df)
+    _check_free(df, SCORE_COLS + WORK_COLS)
     names = check_categories(categories)
     scorable = has_text(F.col(TEXT_COL))
     given = model.transform(df)
@@ -56,7 +56,7 @@ def score_batch_udf(
     row. The first of several highest scores wins. Put filters and column
     selection before this call; each remaining row crosses to Python once.
     """
-    _check_free(df)
+    _check_free(df, SCORE_COLS)
     names = check_categories(categories)
     predict = predict_batch_udf(
         make_predict_fn,

@@ -1,6 +1,6 @@
 """Whole jobs put together from the operators."""
 
-from .examples import attach_labels, count_examples, prepare_examples
+from .examples import attach_labels, count_examples, prepare_examples, with_text
 from .serve import score_table, serve
 from .train import fit_and_evaluate, train
 
@@ -12,4 +12,5 @@ __all__ = [
     "score_table",
     "serve",
     "train",
+    "with_text",
 ]

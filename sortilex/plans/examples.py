@@ -1,4 +1,7 @@
-"""Turn documents into labelled, split examples."""
+"""Turn documents into labelled, split examples.
+
+``attach_labels`` serves tables that keep labels apart from documents.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +13,19 @@ from ..operators import encode_category, reject_unknown_category, split_examples
 from ..settings import CATEGORY_LIST, MAX_LENGTH, SPLIT_THRESHOLD
 
 
+def _text_test(unit: str):
+    return X.has_token if unit == "token" else X.has_text
+
+
+def with_text(documents: DataFrame, unit: str = "token", text_col: str = "text") -> DataFrame:
+    """The documents with at least one unit of text.
+
+    Tests the given text, not the cut one: Spark moves a filter below the cut,
+    and would then cut each text twice.
+    """
+    return documents.filter(_text_test(unit)(F.col(text_col)))
+
+
 def prepare_examples(
     documents: DataFrame,
     category_col: str,
@@ -26,12 +42,11 @@ def prepare_examples(
     counts what is not. Local to each row; the whole text is not carried on.
     """
     known, _ = reject_unknown_category(documents, category_col, categories)
-    cut = truncate_documents(known, max_length, unit, text_col).select(
-        id_col, category_col, "truncated_text"
+    cut = truncate_documents(with_text(known, unit, text_col), max_length, unit, text_col)
+    labelled = encode_category(
+        cut.select(id_col, category_col, "truncated_text"), category_col, categories
     )
-    usable = cut.filter(X.has_text(F.col("truncated_text")))
-    labelled = encode_category(usable, category_col, categories).drop(category_col)
-    return split_examples(labelled, "truncated_text", threshold)
+    return split_examples(labelled.drop(category_col), "truncated_text", threshold)
 
 
 def count_examples(
@@ -48,13 +63,11 @@ def count_examples(
     The reasons do not overlap: an unknown category counts first. One scan,
     and each task sends one row.
     """
-    known = X.is_known_category(F.col(category_col), categories)
-    cut = X.first_tokens if unit == "token" else X.first_chars
-    text = cut(F.col(text_col), max_length)
-    marked = documents.select(
-        known.alias("known"),
-        X.has_text(text).alias("has_text"),
-        X.split_mark([text], threshold).alias("split"),
+    cut = truncate_documents(documents, max_length, unit, text_col)
+    marked = split_examples(cut, "truncated_text", threshold).select(
+        X.is_known_category(F.col(category_col), categories).alias("known"),
+        _text_test(unit)(F.col(text_col)).alias("has_text"),
+        "split",
     )
     known, has_text, split = F.col("known"), F.col("has_text"), F.col("split")
     return marked.agg(

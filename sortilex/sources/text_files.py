@@ -14,7 +14,8 @@ def ingest_text_files(
     ``folder`` is the name of the file's own folder. ``path_glob`` filters file
     names. Bytes that are no UTF-8 become U+FFFD. Each file is one row, so each
     must fit into a task; the number of files is not bounded, small ones are
-    packed into shared tasks.
+    packed into shared tasks. As in every Spark file source, a file of zero
+    bytes, or one whose name starts with a dot or underscore, gives no row.
     """
     files = spark.read.text(
         volume_path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=path_glob
