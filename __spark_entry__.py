@@ -28,6 +28,7 @@ from sortilex.operators import (  # noqa: E402
     confusion_matrix,
     decode_category,
     encode_category,
+    fit_classifier,
     load_classifier,
     long_metrics,
     reject_unknown_category,
@@ -227,7 +228,7 @@ def fit_language(spark, sf_dir):
     examples = prepare_examples(_documents(spark, sf_dir), "lang", LANGS)
     path = run_folder(spark, "language_model")
     model, metrics = fit_and_evaluate(
-        examples, run_folder(spark, "examples"), ClassifierParams(), LANGS, path
+        examples, run_folder(spark, "examples"), _params(spark), LANGS, path
     )
     _fitted[spark.sparkContext.applicationId, sf_dir] = model, path
     return metrics
@@ -246,6 +247,10 @@ def _cut_documents(spark, sf_dir):
     return cut.select("doc_id", "truncated_text")
 
 
+def _params(spark, **changes):
+    return ClassifierParams(partitions=spark.sparkContext.defaultParallelism, **changes)
+
+
 def _settings(spark, categories):
     return Settings(
         catalog_name="spark_catalog",
@@ -267,18 +272,45 @@ def fit_quality(spark, sf_dir):
     _, metrics = fit_and_evaluate(
         split_examples(examples, "truncated_text"),
         run_folder(spark, "examples"),
-        ClassifierParams(),
+        _params(spark),
         QUALITIES[:2],
     )
     return metrics
 
 
+def known_answers(spark, sf_dir):
+    """Each document's language name as its text: the one right answer is that name."""
+    docs = _documents(spark, sf_dir).select("doc_id", "lang", F.col("lang").alias("text"))
+    cut = truncate_documents(docs, WORD_LIMIT).drop("text")
+    model = fit_classifier(encode_category(cut, "lang", LANGS), categories=LANGS)
+    return score_batch(cut, model, LANGS).select("doc_id", "prediction", "predicted_category")
+
+
+def language_support(spark, sf_dir):
+    """Of the fitted model's metrics, the counts that do not depend on the fit."""
+    metrics = fit_language(spark, sf_dir)
+    total = metrics.agg(
+        F.sum("predicted").alias("predicted"), F.sum("support").alias("support")
+    ).select(F.lit("all").alias("category"), "support", "predicted")
+    # Every test row is predicted once, so over all classes the two are equal.
+    by_class = metrics.select("category", "support", F.lit(None).cast("bigint").alias("predicted"))
+    return by_class.unionByName(total)
+
+
 def train_language(spark, sf_dir):
     """The whole training job: prepare, fit, save, evaluate, record, read back."""
-    _, stored = train(_documents(spark, sf_dir), "lang", _settings(spark, LANGS))
+    _, stored = train(_documents(spark, sf_dir), "lang", _settings(spark, LANGS), _params(spark))
     return stored
 
 
+def train_counts(spark, sf_dir):
+    """What the training job counted on its way; ``source`` as the category."""
+    settings = _settings(spark, SOURCES)
+    params = _params(spark, max_iter=1)
+    _, stored = train(_documents(spark, sf_dir), "source", settings, params)
+    return stored.filter("category is null").select("metric", "value")
+
+
 def score_documents(spark, sf_dir):
     model, _ = _language_model(spark, sf_dir)
     scored = score_table(_documents(spark, sf_dir), model, _settings(spark, LANGS))
@@ -380,8 +412,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "class_metrics": partial(rule_metrics, held_out=False),
         "held_out_class_metrics": partial(rule_metrics, held_out=True),
         "fit_classifier": fit_language,
+        "fit_classifier_support": language_support,
+        "fit_classifier_known_answers": known_answers,
         "fit_classifier_quality": fit_quality,
         "train": train_language,
+        "train_counts": train_counts,
         "score_batch": score_documents,
         "score_batch_reloaded_model": reloaded_model_scores,
         "score_batch_udf": score_with_user_model,
@@ -395,6 +430,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _SOURCE_LIST = ", ".join(f"'{name}'" for name in SOURCES)
 _SOURCE_ROWS = ", ".join(f"({i}, '{name}')" for i, name in enumerate(SOURCES))
+_LANG_ROWS = ", ".join(f"({i}, '{name}')" for i, name in enumerate(LANGS))
 _QUALITY_ROWS = ", ".join(f"({i}, '{name}')" for i, name in enumerate(QUALITIES))
 _TOKENS = r"regexp_extract_all(text, '([^ \t\n\r\f]+)', 1)"
 _FIRST_TOKENS = f"array_to_string({_TOKENS}[1:128], ' ')"
@@ -439,6 +475,18 @@ def _run_sql(run_id: str, limit: int) -> str:
 def oracle_sql() -> dict[str, str]:
     """SQL for each query but those whose result depends on a fitted model."""
     same_documents = "select doc_id, true as same from documents"
+    counts = f"""
+        with t as (
+            select source in ({_SOURCE_LIST}) as known, len({_TOKENS}) > 0 as has_text,
+                {_TEXT_SPLIT} as split
+            from documents
+        )
+        select count(*) as documents,
+            count(*) filter (where not known) as unknown_category,
+            count(*) filter (where known and not has_text) as no_text,
+            count(*) filter (where known and has_text and split = 'train') as train,
+            count(*) filter (where known and has_text and split = 'test') as test
+        from t"""
     user_model = f"""
         with e as (
             select vec_id, list_max(embedding[1:9]) as best,
@@ -496,18 +544,12 @@ def oracle_sql() -> dict[str, str]:
                 {_TEXT_SPLIT} as split
             from documents join (values {_SOURCE_ROWS}) v(label, category) on source = category
             where len({_TOKENS}) > 0""",
-        "count_examples": f"""
-            with t as (
-                select source in ({_SOURCE_LIST}) as known, len({_TOKENS}) > 0 as has_text,
-                    {_TEXT_SPLIT} as split
-                from documents
-            )
-            select count(*) as documents,
-                count(*) filter (where not known) as unknown_category,
-                count(*) filter (where known and not has_text) as no_text,
-                count(*) filter (where known and has_text and split = 'train') as train,
-                count(*) filter (where known and has_text and split = 'test') as test
-            from t""",
+        "count_examples": counts,
+        "train_counts": f"with c as ({counts}) "
+        + " union all ".join(
+            f"select '{name}' as metric, {name}::double as value from c"
+            for name in ("documents", "unknown_category", "no_text", "train", "test")
+        ),
         "labelled_examples": f"""
             select doc_id, {_FIRST_TOKENS} as truncated_text, quality, toxic
             from documents join labels using (doc_id)""",
@@ -516,6 +558,17 @@ def oracle_sql() -> dict[str, str]:
             from documents join labels using (doc_id) group by all""",
         "class_metrics": _metrics_sql(""),
         "held_out_class_metrics": _metrics_sql("where split = 'test'"),
+        "fit_classifier_support": f"""
+            with t as (
+                select lang from documents where {_TEXT_SPLIT} = 'test' and len({_TOKENS}) > 0
+            )
+            select category, (select count(*) from t where lang = category) as support,
+                null::bigint as predicted
+            from (values {_LANG_ROWS}) v(label, category)
+            union all select 'all', count(*), count(*) from t""",
+        "fit_classifier_known_answers": f"""
+            select doc_id, v.label::int as prediction, lang as predicted_category
+            from documents join (values {_LANG_ROWS}) v(label, category) on lang = category""",
         "score_batch_reloaded_model": same_documents,
         "score_batch_udf": user_model,
         "score_stream_equals_batch": same_documents,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..settings import CATEGORY_LIST, UNITS, check_categories
+from ..storage import run_folder
 
 TEXT_COL = "truncated_text"
 WORK_COLS = ("terms", "term_counts", "features", "rawPrediction", "probability")
@@ -35,6 +36,11 @@ class ClassifierParams:
     terms: where most of the hash space is unused, Spark stores the coefficients
     as a sparse matrix and scoring walks all of it for every row (measured: ten
     times slower at 2^18 than at 2^16 features on 10,000 documents).
+
+    ``partitions`` is the most tasks a solver step may have. Each sends a
+    gradient, so a few per core are right, where the scan of a large table has
+    very many. A plan that stores examples for the fit spreads them over as many
+    tasks. None leaves the rows as the scan splits them.
     """
 
     unit: str = "token"
@@ -44,10 +50,13 @@ class ClassifierParams:
     reg_param: float = 0.0
     elastic_net: float = 0.0
     aggregation_depth: int = 2
+    partitions: int | None = None
 
     def __post_init__(self) -> None:
         if self.unit not in UNITS:
             raise ValueError(f"unit must be one of {UNITS}, not {self.unit!r}")
+        if self.partitions is not None and self.partitions < 1:
+            raise ValueError("partitions must be at least 1")
 
 
 def _with_domain(train: DataFrame, label_col: str, names: tuple[str, ...]) -> DataFrame:
@@ -66,12 +75,15 @@ def fit_classifier(
 ) -> PipelineModel:
     """Fit hashed term counts, IDF and logistic regression on ``truncated_text``.
 
-    Rows without a label are not used. With ``path``, the model is saved there
-    and replaces an older one. Give a stored table: the fit reads ``train``
-    twice, and a stored table spares the joins before it.
+    Rows without a label are not used. The model is saved at ``path``, where it
+    replaces an older one, or else in a new shared folder. Give a stored table:
+    the fit reads ``train`` three times, and a stored table spares the joins
+    before it.
     """
     names = check_categories(categories)
     labelled = train.filter(F.col(label_col).isNotNull()).select(label_col, TEXT_COL)
+    if params.partitions is not None:
+        labelled = labelled.coalesce(params.partitions)
     stages = [
         SQLTransformer(statement=f"SELECT *, {_TERMS_SQL[params.unit]} AS terms FROM __THIS__"),
         HashingTF(inputCol="terms", outputCol="term_counts", numFeatures=params.num_features),
@@ -89,9 +101,11 @@ def fit_classifier(
     model = Pipeline(stages=stages).fit(_with_domain(labelled, label_col, names))
     if isinstance(model.stages[-1].coefficientMatrix, SparseMatrix):
         warnings.warn("most hashed features are unused: lower num_features to score faster")
-    if path is not None:
-        model.write().overwrite().save(path)
-    return model
+    path = path or run_folder(train.sparkSession, "model")
+    model.write().overwrite().save(path)
+    # A model fresh from the fit drags its training summary, and with it the
+    # session, into every scoring task; the saved one is the model alone.
+    return load_classifier(path)
 
 
 def load_classifier(path: str) -> PipelineModel:

@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as X
@@ -49,6 +49,20 @@ def prepare_examples(
     return split_examples(labelled.drop(category_col), "truncated_text", threshold)
 
 
+def intake_counts(category_col: str, categories) -> list[Column]:
+    """Aggregates over documents: all, and those of an unknown category."""
+    known = X.is_known_category(F.col(category_col), categories)
+    return [
+        F.count(F.lit(1)).alias("documents"),
+        F.count_if(~known).alias("unknown_category"),
+    ]
+
+
+def split_counts() -> list[Column]:
+    """Aggregates over examples: train and test rows."""
+    return [F.count_if(F.col("split") == mark).alias(mark) for mark in ("train", "test")]
+
+
 def count_examples(
     documents: DataFrame,
     category_col: str,
@@ -60,22 +74,17 @@ def count_examples(
 ) -> DataFrame:
     """One row: documents, those set aside by reason, and train and test counts.
 
-    The reasons do not overlap: an unknown category counts first. One scan,
-    and each task sends one row.
+    The reasons do not overlap: an unknown category counts first. One scan, and
+    each task sends one row.
     """
+    known = X.is_known_category(F.col(category_col), categories)
+    some_text = _text_test(unit)(F.col(text_col))
     cut = truncate_documents(documents, max_length, unit, text_col)
-    marked = split_examples(cut, "truncated_text", threshold).select(
-        X.is_known_category(F.col(category_col), categories).alias("known"),
-        _text_test(unit)(F.col(text_col)).alias("has_text"),
-        "split",
-    )
-    known, has_text, split = F.col("known"), F.col("has_text"), F.col("split")
-    return marked.agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.count_if(~known).alias("unknown_category"),
-        F.count_if(known & ~has_text).alias("no_text"),
-        F.count_if(known & has_text & (split == "train")).alias("train"),
-        F.count_if(known & has_text & (split == "test")).alias("test"),
+    marked = split_examples(cut, "truncated_text", threshold)
+    return marked.withColumn("split", F.when(known & some_text, F.col("split"))).agg(
+        *intake_counts(category_col, categories),
+        F.count_if(known & ~some_text).alias("no_text"),
+        *split_counts(),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import ClassifierParams, class_metrics, fit_classifier, long_metrics, score_batch
 from ..settings import Settings
 from ..sources import read_metrics, record_metrics
-from .examples import prepare_examples
+from .examples import intake_counts, prepare_examples, split_counts
 
 
 def fit_and_evaluate(
@@ -23,9 +23,13 @@ def fit_and_evaluate(
 
     The examples are written once, by split, and read back for each pass: the
     fit then touches only train files and the evaluation only test files, and
-    a lost executor repeats a scan in place of the preparation.
+    a lost executor repeats a scan in place of the preparation. Where
+    ``params.partitions`` spreads them, they go round-robin and not by a key, so
+    copies of one text do not pile up in a task.
     """
     spark = examples.sparkSession
+    if params.partitions is not None:
+        examples = examples.repartition(params.partitions)
     examples.write.mode("overwrite").partitionBy("split").parquet(examples_path)
     stored = spark.read.parquet(examples_path)
     model = fit_classifier(
@@ -46,8 +50,10 @@ def train(
     """Train on a document table as ``settings`` say; save model and metrics.
 
     Returns the model and this run's stored rows ``(category, metric, value,
-    run_id)``.
+    run_id)``. Rows without a category count documents: all, those set aside by
+    reason, train and test.
     """
+    spark = documents.sparkSession
     examples = prepare_examples(
         documents,
         category_col,
@@ -65,6 +71,26 @@ def train(
         settings.categories,
         settings.model_path,
     )
-    record_metrics(long_metrics(metrics), settings.run_id, settings.metrics_path)
-    stored = read_metrics(documents.sparkSession, settings.metrics_path)
+    counts = _counts(
+        documents.agg(*intake_counts(category_col, settings.categories)),
+        spark.read.parquet(settings.examples_path).agg(*split_counts()),
+    )
+    record_metrics(
+        long_metrics(metrics).unionByName(counts), settings.run_id, settings.metrics_path
+    )
+    stored = read_metrics(spark, settings.metrics_path)
     return model, stored.filter(F.col("run_id") == settings.run_id)
+
+
+def _counts(intake: DataFrame, kept: DataFrame) -> DataFrame:
+    """Two rows of counts as metrics of the run.
+
+    The intake reads the category column and the stored examples their split
+    alone. What is in neither had no text, so no text is read again for it.
+    """
+    n = {**intake.first().asDict(), **kept.first().asDict()}
+    n["no_text"] = n["documents"] - n["unknown_category"] - n["train"] - n["test"]
+    return intake.sparkSession.createDataFrame(
+        [(None, name, float(count)) for name, count in n.items()],
+        "category string, metric string, value double",
+    )

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.ml.feature import StringIndexerModel
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from sortilex.operators import (
@@ -132,6 +133,16 @@ def test_better_than_the_majority_class(spark):
     marked.unpersist()
 
 
+def test_two_classes_after_an_observation(spark):
+    """A session that observes metrics can still score with a binary model."""
+    df = spark.createDataFrame([(0, "soup"), (1, "goal")], "label int, truncated_text string")
+    seen = Observation("seen")
+    df.observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get == {"n": 2}
+    model = fit_classifier(df, ClassifierParams(num_features=16, max_iter=2), ("food", "sport"))
+    assert [r.prediction for r in score_batch(df, model, ("food", "sport")).collect()] == [0, 1]
+
+
 @pytest.mark.parametrize("taken", ["prediction", "confidence", "features"])
 def test_taken_names_are_refused(spark, model, taken):
     df = spark.createDataFrame([("a", 1)], f"truncated_text string, {taken} int")

@@ -20,6 +20,7 @@ from sortilex.operators import (
 from sortilex.plans import (
     attach_labels,
     count_examples,
+    fit_and_evaluate,
     prepare_examples,
     score_table,
     serve,
@@ -78,10 +79,13 @@ def test_train_score_and_serve(spark, stored_docs, tmp_path):
     )
     params = ClassifierParams(num_features=1 << 10)
     model, metrics = train(stored_docs, "lang", settings, params)
-    assert metrics.count() == 24
+    assert metrics.filter("category is not null").count() == 24
+    counts = {r.metric: r.value for r in metrics.filter("category is null").collect()}
+    assert counts == count_examples(stored_docs, "lang", langs).first().asDict()
+    assert counts["documents"] == stored_docs.count()
     assert {r.run_id for r in metrics.collect()} == {"run1"}
     again, _ = train(stored_docs, "lang", settings, params)
-    assert read_metrics(spark, settings.metrics_path).count() == 24
+    assert read_metrics(spark, settings.metrics_path).count() == 29
 
     scored = score_table(stored_docs, load_classifier(settings.model_path), settings)
     assert scored.count() == stored_docs.count()
@@ -98,6 +102,24 @@ def test_train_score_and_serve(spark, stored_docs, tmp_path):
         assert sorted(served.collect()) == sorted(score_table(stored_docs, again, settings).collect())
 
 
+@pytest.mark.parametrize("partitions", [None, 3])
+def test_partitions_bound_the_tasks_of_the_fit(spark, stored_docs, tmp_path, partitions):
+    """A hot text is spread like any other row, and the result does not change."""
+    copies = stored_docs.select("doc_id", F.lit("the same text").alias("truncated_text"), "lang")
+    examples = encode_category(copies, "lang", ("de", "en", "es", "fr")).drop("lang")
+    examples = split_examples(examples, "doc_id").repartition(5)
+    params = ClassifierParams(num_features=64, max_iter=1, partitions=partitions)
+    path = str(tmp_path / "examples")
+    _, metrics = fit_and_evaluate(examples, path, params, ("de", "en", "es", "fr"))
+    assert metrics.agg(F.sum("support"), F.sum("predicted")).first() == (
+        examples.filter("split = 'test'").count(),
+    ) * 2
+    sizes = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) == 2 * (partitions or 5)
+    with pytest.raises(ValueError):
+        ClassifierParams(partitions=0)
+
+
 # --- physical plans ----------------------------------------------------------
 
 
@@ -154,7 +176,10 @@ def test_whole_texts_are_not_shuffled(spark, stored_docs, plan):
 
 
 def test_each_text_is_cut_once(stored_docs, plan):
-    assert plan(prepare_examples(stored_docs, "source", ("src0",))).count("regexp_extract") == 1
+    text = plan(prepare_examples(stored_docs, "source", ("src0",)))
+    conditions = re.findall(r"Condition : (.*)", text)
+    assert conditions and not any("regexp_extract" in c for c in conditions)
+    assert text.count(" AS truncated_text") == 1
 
 
 def test_scoring_does_not_shuffle(spark, stored_docs, plan, tmp_path):
