@@ -289,12 +289,12 @@ def known_answers(spark, sf_dir):
 def language_support(spark, sf_dir):
     """Of the fitted model's metrics, the counts that do not depend on the fit."""
     metrics = fit_language(spark, sf_dir)
-    total = metrics.agg(
-        F.sum("predicted").alias("predicted"), F.sum("support").alias("support")
-    ).select(F.lit("all").alias("category"), "support", "predicted")
     # Every test row is predicted once, so over all classes the two are equal.
-    by_class = metrics.select("category", "support", F.lit(None).cast("bigint").alias("predicted"))
-    return by_class.unionByName(total)
+    totals = metrics.rollup("category").agg(
+        F.sum("support").alias("support"),
+        F.when(F.grouping("category") == 1, F.sum("predicted")).alias("predicted"),
+    )
+    return totals.na.fill("all", ["category"])
 
 
 def train_language(spark, sf_dir):

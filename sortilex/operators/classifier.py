@@ -5,6 +5,7 @@ from __future__ import annotations
 import warnings
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, SQLTransformer
@@ -21,7 +22,7 @@ WORK_COLS = ("terms", "term_counts", "features", "rawPrediction", "probability")
 # Null text has no terms. Characters overlap in pairs, since single characters
 # say little in unspaced text.
 _TERMS_SQL = {
-    "token": f"filter(split(coalesce({TEXT_COL}, ''), ' '), term -> term <> '')",
+    "token": f"array_remove(split(coalesce({TEXT_COL}, ''), ' '), '')",
     "char": f"regexp_extract_all(coalesce({TEXT_COL}, ''), '(?s)(?=(..?)).', 1)",
 }
 
@@ -76,29 +77,34 @@ def fit_classifier(
     """Fit hashed term counts, IDF and logistic regression on ``truncated_text``.
 
     Rows without a label are not used. The model is saved at ``path``, where it
-    replaces an older one, or else in a new shared folder. Give a stored table:
-    the fit reads ``train`` three times, and a stored table spares the joins
-    before it.
+    replaces an older one, or else in a new shared folder. The rows are read
+    once and kept as term counts, in memory or on disk, until the fit is done.
     """
     names = check_categories(categories)
     labelled = train.filter(F.col(label_col).isNotNull()).select(label_col, TEXT_COL)
     if params.partitions is not None:
         labelled = labelled.coalesce(params.partitions)
-    stages = [
-        SQLTransformer(statement=f"SELECT *, {_TERMS_SQL[params.unit]} AS terms FROM __THIS__"),
-        HashingTF(inputCol="terms", outputCol="term_counts", numFeatures=params.num_features),
-        IDF(inputCol="term_counts", outputCol="features", minDocFreq=params.min_doc_freq),
-        LogisticRegression(
-            featuresCol="features",
-            labelCol=label_col,
-            family="multinomial" if len(names) > 2 else "auto",
-            maxIter=params.max_iter,
-            regParam=params.reg_param,
-            elasticNetParam=params.elastic_net,
-            aggregationDepth=params.aggregation_depth,
-        ),
-    ]
-    model = Pipeline(stages=stages).fit(_with_domain(labelled, label_col, names))
+    terms = SQLTransformer(statement=f"SELECT *, {_TERMS_SQL[params.unit]} AS terms FROM __THIS__")
+    hashing = HashingTF(inputCol="terms", outputCol="term_counts", numFeatures=params.num_features)
+    idf = IDF(inputCol="term_counts", outputCol="features", minDocFreq=params.min_doc_freq)
+    solver = LogisticRegression(
+        featuresCol="features",
+        labelCol=label_col,
+        family="multinomial" if len(names) > 2 else "auto",
+        maxIter=params.max_iter,
+        regParam=params.reg_param,
+        elasticNetParam=params.elastic_net,
+        aggregationDepth=params.aggregation_depth,
+    )
+    # Hashing costs more than any other step before the solver, and the fits
+    # below take three passes. What does not fit in memory goes to disk.
+    counts = hashing.transform(terms.transform(_with_domain(labelled, label_col, names)))
+    counts = counts.select(label_col, "term_counts").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = Pipeline(stages=[idf, solver]).fit(counts)
+    finally:
+        counts.unpersist()
+    model = PipelineModel([terms, hashing, *fitted.stages])
     if isinstance(model.stages[-1].coefficientMatrix, SparseMatrix):
         warnings.warn("most hashed features are unused: lower num_features to score faster")
     path = path or run_folder(train.sparkSession, "model")

@@ -21,9 +21,9 @@ def fit_and_evaluate(
 ) -> tuple[PipelineModel, DataFrame]:
     """The model fitted on the train rows, and its metrics on the test rows.
 
-    The examples are written once, by split, and read back for each pass: the
-    fit then touches only train files and the evaluation only test files, and
-    a lost executor repeats a scan in place of the preparation. Where
+    The examples are written once, by split: the fit then reads only train files
+    and the evaluation only test files, and a lost executor repeats a scan in
+    place of the preparation. Where
     ``params.partitions`` spreads them, they go round-robin and not by a key, so
     copies of one text do not pile up in a task.
     """
@@ -54,6 +54,9 @@ def train(
     reason, train and test.
     """
     spark = documents.sparkSession
+    params = params or ClassifierParams(unit=settings.unit)
+    if params.unit != settings.unit:
+        raise ValueError(f"the text is cut by {settings.unit}, the model reads {params.unit}s")
     examples = prepare_examples(
         documents,
         category_col,
@@ -67,7 +70,7 @@ def train(
     model, metrics = fit_and_evaluate(
         examples,
         settings.examples_path,
-        params or ClassifierParams(unit=settings.unit),
+        params,
         settings.categories,
         settings.model_path,
     )

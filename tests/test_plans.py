@@ -85,6 +85,8 @@ def test_train_score_and_serve(spark, stored_docs, tmp_path):
     assert counts["documents"] == stored_docs.count()
     assert {r.run_id for r in metrics.collect()} == {"run1"}
     again, _ = train(stored_docs, "lang", settings, params)
+    with pytest.raises(ValueError):
+        train(stored_docs, "lang", settings, ClassifierParams(unit="char"))
     assert read_metrics(spark, settings.metrics_path).count() == 29
 
     scored = score_table(stored_docs, load_classifier(settings.model_path), settings)
@@ -175,6 +177,50 @@ def test_whole_texts_are_not_shuffled(spark, stored_docs, plan):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.fixture
+def small_partitions(spark):
+    """Settings under which the skew of a test table counts as skew."""
+    changes = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in changes.items():
+        spark.conf.set(key, value)
+    yield
+    for key in changes:
+        spark.conf.unset(key)
+
+
+def test_a_dominant_join_key_is_split(spark, small_partitions, plan):
+    """A third of the documents under one id: AQE shares them among tasks."""
+    docs = spark.range(0, 60_000, 1, 16).selectExpr(
+        "if(id % 3 = 0, 7, id) as doc_id", "sha2(string(id), 512) as text"
+    )
+    labels = spark.range(60_000).selectExpr("id as doc_id", "int(id % 2) as quality")
+    joined = attach_labels(docs, labels)
+    rows = joined.select("doc_id", "truncated_text", "quality").collect()
+    assert len(rows) == 60_000 and sum(r.doc_id == 7 for r in rows) == 20_001
+    joined.collect()
+    assert "skew=true" in plan(joined)
+
+
+def test_a_dominant_unknown_category_is_split(spark, small_partitions, plan, monkeypatch):
+    """The same where a domain is too large to broadcast."""
+    from sortilex.operators import category
+
+    monkeypatch.setattr(category, "MAX_BROADCAST_CATEGORIES", 1)
+    docs = spark.range(0, 60_000, 1, 16).selectExpr(
+        "sha2(string(id), 512) as text", "if(id % 3 = 0, 'unknown', concat('c', id % 500)) as name"
+    )
+    encoded = encode_category(docs, "name", tuple(f"c{i}" for i in range(500)))
+    rows = encoded.collect()
+    assert len(rows) == 60_000 and sum(r.label is None for r in rows) == 20_000
+    assert "skew=true" in plan(encoded)
+
+
 def test_each_text_is_cut_once(stored_docs, plan):
     text = plan(prepare_examples(stored_docs, "source", ("src0",)))
     conditions = re.findall(r"Condition : (.*)", text)
