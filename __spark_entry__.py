@@ -57,6 +57,13 @@ from sortilex.sources import (  # noqa: E402
 from sortilex.storage import run_folder  # noqa: E402
 from sortilex.streaming import score_stream, stream_documents  # noqa: E402
 
+# The operators for training data can be taken out as a whole.
+try:
+    import corpus_pipeline
+    from sortilex.llm.queries import llm_queries, llm_sql
+except ImportError:
+    corpus_pipeline = None
+
 SOURCES = tuple(f"src{i}" for i in range(9))
 LANGS = ("de", "en", "es", "fr")
 QUALITIES = ("low", "high", "unseen")
@@ -390,7 +397,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query; each runs over whole tables."""
-    return {
+    extra = {"pipeline": corpus_pipeline.run, **llm_queries()} if corpus_pipeline else {}
+    return extra | {
         "read_documents": read_all,
         "write_documents": write_and_read,
         "record_metrics": record_runs,
@@ -496,7 +504,8 @@ def oracle_sql() -> dict[str, str]:
         select vec_id, prediction, 'src' || prediction as predicted_category,
             best::double as confidence
         from e"""
-    return {
+    extra = llm_sql() if corpus_pipeline else {}
+    return extra | {
         "read_documents": "select * from documents",
         "write_documents": "select * from documents",
         "record_metrics": f"{_run_sql('run_a', 2000)} union all {_run_sql('run_b', 1000)}",
