@@ -132,13 +132,18 @@ def chance_collisions(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
 
 
 def estimate(reg_a, reg_b, fill_a, fill_b, n_a, n_b) -> tuple[np.ndarray, np.ndarray]:
-    """Collision-corrected similarity and its standard error at the threshold."""
+    """Collision-corrected similarity and its standard error at the threshold.
+
+    Each filled bucket draws one shingle of the union, none twice, so the error
+    shrinks as the draws use the union up.
+    """
     fill_a, fill_b = (np.unpackbits(x, axis=1).astype(bool) for x in (fill_a, fill_b))
     agree = ((reg_a == reg_b) & fill_a & fill_b).sum(axis=1)
     used = (fill_a | fill_b).sum(axis=1).clip(1)
     similarity = (agree - chance_collisions(n_a, n_b)) / used
     t = PERCENT / 100
-    return similarity, np.sqrt(t * (1 - t) / used)
+    union = np.maximum((n_a + n_b) / (1 + t), used + 1)
+    return similarity, np.sqrt(t * (1 - t) / used * np.maximum(1 - used / union, 0.05))
 
 
 def _stacked(column: pa.Array, dtype: str) -> np.ndarray:
@@ -185,7 +190,8 @@ def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def confirmed_links(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     """The pairs whose full shingle sets reach the threshold."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    needed = pairs.select(F.col("a").alias("doc_id")).distinct()
+    needed = needed.union(pairs.select("b").distinct()).distinct()
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     texts = stored(texts.join(needed, "doc_id", "left_semi"), "texts")
     for side in "ab":
