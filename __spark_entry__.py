@@ -14,6 +14,7 @@ from collections.abc import Callable
 from functools import partial
 from pathlib import Path
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from sortilex.operators import (  # noqa: E402
     decode_category,
     encode_category,
     fit_classifier,
+    fit_unsaved,
     load_classifier,
     long_metrics,
     reject_unknown_category,
@@ -96,9 +98,11 @@ def read_all(spark, sf_dir):
 def write_and_read(spark, sf_dir):
     """Overwrite the table with one half of the documents, append the other half."""
     docs = _documents(spark, sf_dir)
-    table, path = "sortilex_raw_documents", run_folder(spark, "raw_documents")
-    write_documents(docs.filter("lang = 'en'"), table, "overwrite", path=path)
-    write_documents(docs.filter("lang <> 'en'"), table, "append")
+    path = run_folder(spark, "raw_documents")
+    table = "sortilex_" + path.rpartition("/")[2].replace("-", "_")
+    english = F.col("lang").eqNullSafe("en")
+    write_documents(docs.filter(english), table, "overwrite", path=path)
+    write_documents(docs.filter(~english), table, "append")
     return read_documents(spark, table_name=table)
 
 
@@ -142,10 +146,9 @@ def domain_coverage(spark, sf_dir):
     """The domain, each class with the number of its documents."""
     known, _ = reject_unknown_category(_documents(spark, sf_dir), "source", SOURCES)
     counts = known.groupBy(F.col("source").alias("category")).agg(F.count("*").alias("n"))
-    # At most one row per class of the domain, hence the broadcast.
     return (
         category_domain(spark, SOURCES)
-        .join(F.broadcast(counts), "category", "left")
+        .join(counts, "category", "left")
         .select("label", "category", F.coalesce("n", F.lit(0)).alias("n_documents"))
     )
 
@@ -313,8 +316,7 @@ def train_language(spark, sf_dir):
 def train_counts(spark, sf_dir):
     """What the training job counted on its way; ``source`` as the category."""
     settings = _settings(spark, SOURCES)
-    params = _params(spark, max_iter=1)
-    _, stored = train(_documents(spark, sf_dir), "source", settings, params)
+    _, stored = train(_documents(spark, sf_dir), "source", settings, _params(spark))
     return stored.filter("category is null").select("metric", "value")
 
 
@@ -354,19 +356,24 @@ def stream_equals_batch(spark, sf_dir):
 
 
 def reloaded_model_scores(spark, sf_dir):
-    model, path = _language_model(spark, sf_dir)
+    """The model as it came from the fit against the one read back from its folder."""
+    examples = prepare_examples(_documents(spark, sf_dir), "lang", LANGS)
+    model = fit_unsaved(examples.filter("split = 'train'"), categories=LANGS)
+    path = run_folder(spark, "model")
+    model.write().save(path)
     cut = _cut_documents(spark, sf_dir)
-    return _same_scores(
-        score_batch(cut, model, LANGS), score_batch(cut, load_classifier(path), LANGS)
-    )
+    before, after = run_folder(spark, "scores"), load_classifier(path)
+    score_batch(cut, model, LANGS).write.parquet(before)
+    return _same_scores(spark.read.parquet(before), score_batch(cut, after, LANGS))
 
 
 def _score_embeddings(df):
-    """A user's model: the first nine dimensions are the scores of nine classes."""
+    """A user's model: a class scores the greatest of the dimensions dealt to it in turn."""
 
     def make_predict_fn():
         def predict(embedding):
-            return embedding[:, :9].astype("float64")
+            dealt = [embedding[:, k :: len(SOURCES)].max(axis=1) for k in range(len(SOURCES))]
+            return np.stack(dealt, axis=1).astype("float64")
 
         return predict
 
@@ -496,10 +503,15 @@ def oracle_sql() -> dict[str, str]:
             count(*) filter (where known and has_text and split = 'test') as test
         from t"""
     user_model = f"""
-        with e as (
-            select vec_id, list_max(embedding[1:9]) as best,
-                (list_position(embedding[1:9], list_max(embedding[1:9])) - 1)::int as prediction
-            from embeddings
+        with x as (
+            select vec_id, unnest(embedding) as value, unnest(range(64)) % 9 as k from embeddings
+        ), c as (
+            select vec_id, k, max(value) as score from x group by vec_id, k
+        ), b as (
+            select vec_id, max(score) as best from c group by vec_id
+        ), e as (
+            select b.vec_id, b.best, min(c.k)::int as prediction
+            from b join c on b.vec_id = c.vec_id and b.best = c.score group by b.vec_id, b.best
         )
         select vec_id, prediction, 'src' || prediction as predicted_category,
             best::double as confidence

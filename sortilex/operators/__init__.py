@@ -1,7 +1,7 @@
 """Operators from DataFrame to DataFrame."""
 
 from .category import category_domain, decode_category, encode_category, reject_unknown_category
-from .classifier import ClassifierParams, fit_classifier, load_classifier
+from .classifier import ClassifierParams, fit_classifier, fit_unsaved, load_classifier
 from .evaluation import class_metrics, confusion_matrix, long_metrics
 from .scoring import score_batch, score_batch_udf
 from .split import split_examples
@@ -15,6 +15,7 @@ __all__ = [
     "decode_category",
     "encode_category",
     "fit_classifier",
+    "fit_unsaved",
     "load_classifier",
     "long_metrics",
     "reject_unknown_category",

@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import category_name, is_known_category
 from ..settings import CATEGORY_LIST, check_categories
 
-# A domain up to this many names (a few hundred kB) is sent to every executor;
-# a larger one is joined the way Spark picks from its size.
-MAX_BROADCAST_CATEGORIES = 10_000
-
 
 def category_domain(spark: SparkSession, categories=CATEGORY_LIST) -> DataFrame:
-    """The domain as rows ``(label int, category string)``; label is the position."""
-    names = F.array(*(F.lit(name) for name in check_categories(categories)))
-    return spark.range(0, 1, 1, 1).select(F.posexplode(names).alias("label", "category"))
+    """The domain as rows ``(label int, category string)``; label is the position.
+
+    One row of a range per name, so that Spark knows the number of rows and
+    picks a join by their size.
+    """
+    names = check_categories(categories)
+    listed = F.from_json(F.lit(json.dumps(names)), "array<string>")
+    label = F.col("id").cast("int")
+    return spark.range(0, len(names), 1, 1).select(
+        label.alias("label"), F.get(listed, label).alias("category")
+    )
 
 
 def encode_category(
@@ -24,8 +30,9 @@ def encode_category(
 ) -> DataFrame:
     """Add the class id of the name in ``col``; null for an unknown or null name.
 
-    No row is lost. Within the size bound the join is local to each row; beyond
-    it both sides shuffle on the name and AQE splits a name that dominates.
+    No row is lost. Spark sends a small domain to every task; one beyond its
+    broadcast threshold is shuffled on the name, and AQE splits a name that
+    dominates.
     """
     if label_col in df.columns:
         raise ValueError(f"the input already has a column {label_col!r}")
@@ -34,8 +41,6 @@ def encode_category(
     domain = category_domain(df.sparkSession, names).select(
         F.col("label").alias(label_col), F.col("category").alias(key)
     )
-    if len(names) <= MAX_BROADCAST_CATEGORIES:
-        domain = F.broadcast(domain)
     return df.join(domain, F.col(col) == F.col(key), "left").drop(key)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame
@@ -41,6 +44,28 @@ def score_batch(df: DataFrame, model: PipelineModel, categories=CATEGORY_LIST) -
     )
 
 
+def _valid_inputs(df: DataFrame, names, shapes):
+    """Whether a row can be scored, and the inputs with a stand-in where it cannot."""
+    shapes = list(shapes) if shapes is not None else [None] * len(names)
+    tests, stand_ins = [], []
+    for name, shape in zip(names, shapes, strict=True):
+        column, kind = F.col(name), df.schema[name].dataType
+        test = column.isNotNull()
+        if isinstance(kind, T.ArrayType):
+            size = math.prod(shape) if shape else 0
+            test &= F.forall(column, lambda x: x.isNotNull())
+            if shape:
+                test &= F.size(column) == size
+            stand_in = F.array_repeat(F.lit("0").cast(kind.elementType), size)
+        else:
+            stand_in = F.lit("0").cast(kind)
+        tests.append(F.coalesce(test, F.lit(False)))
+        stand_ins.append(stand_in)
+    valid = reduce(lambda a, b: a & b, tests)
+    inputs = [F.when(valid, F.col(n)).otherwise(s) for n, s in zip(names, stand_ins, strict=True)]
+    return valid, inputs
+
+
 def score_batch_udf(
     df: DataFrame,
     make_predict_fn,
@@ -55,16 +80,26 @@ def score_batch_udf(
     from numpy batches of ``input_cols`` to one row of class scores per input
     row. The first of several highest scores wins. Put filters and column
     selection before this call; each remaining row crosses to Python once.
+
+    Every row stays. One whose input is null, holds a null or has not as many
+    values as its shape in ``input_tensor_shapes`` gets null scores. A model
+    that returns more scores than there are categories fails the job.
     """
     _check_free(df, SCORE_COLS)
     names = check_categories(categories)
+    input_cols = list(input_cols)
+    valid, inputs = _valid_inputs(df, input_cols, input_tensor_shapes)
     predict = predict_batch_udf(
         make_predict_fn,
         return_type=T.ArrayType(T.DoubleType()),
         batch_size=batch_size,
         input_tensor_shapes=input_tensor_shapes,
     )
-    scored = df.withColumn("__scores", predict(*input_cols))
+    scored = df.withColumn("__scores", predict(*inputs))
+    fits = F.size("__scores") <= len(names)
+    refused = F.raise_error(F.lit("the model returns more scores than there are categories"))
+    checked = F.when(fits, F.col("__scores")).otherwise(refused)
+    scored = scored.withColumn("__scores", F.when(valid, checked))
     best = F.array_max("__scores")
     label = (F.array_position("__scores", best) - 1).cast("int")
     return scored.select(

@@ -58,6 +58,12 @@ def intake_counts(category_col: str, categories) -> list[Column]:
     ]
 
 
+def no_text_count(category_col: str, categories, text_col: str, unit: str) -> Column:
+    """Aggregate over documents: those of a known category without text."""
+    known = X.is_known_category(F.col(category_col), categories)
+    return F.count_if(known & ~_text_test(unit)(F.col(text_col))).alias("no_text")
+
+
 def split_counts() -> list[Column]:
     """Aggregates over examples: train and test rows."""
     return [F.count_if(F.col("split") == mark).alias(mark) for mark in ("train", "test")]
@@ -83,7 +89,7 @@ def count_examples(
     marked = split_examples(cut, "truncated_text", threshold)
     return marked.withColumn("split", F.when(known & some_text, F.col("split"))).agg(
         *intake_counts(category_col, categories),
-        F.count_if(known & ~some_text).alias("no_text"),
+        no_text_count(category_col, categories, text_col, unit),
         *split_counts(),
     )
 

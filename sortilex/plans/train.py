@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import ClassifierParams, class_metrics, fit_classifier, long_metrics, score_batch
 from ..settings import Settings
 from ..sources import read_metrics, record_metrics
-from .examples import intake_counts, prepare_examples, split_counts
+from .examples import intake_counts, no_text_count, prepare_examples, split_counts
 
 
 def fit_and_evaluate(
@@ -75,7 +75,10 @@ def train(
         settings.model_path,
     )
     counts = _counts(
-        documents.agg(*intake_counts(category_col, settings.categories)),
+        documents.agg(
+            *intake_counts(category_col, settings.categories),
+            no_text_count(category_col, settings.categories, text_col, settings.unit),
+        ),
         spark.read.parquet(settings.examples_path).agg(*split_counts()),
     )
     record_metrics(
@@ -88,11 +91,13 @@ def train(
 def _counts(intake: DataFrame, kept: DataFrame) -> DataFrame:
     """Two rows of counts as metrics of the run.
 
-    The intake reads the category column and the stored examples their split
-    alone. What is in neither had no text, so no text is read again for it.
+    Each is counted by itself. If the parts do not add up, rows were lost or the
+    table changed between the passes, and the job fails.
     """
     n = {**intake.first().asDict(), **kept.first().asDict()}
-    n["no_text"] = n["documents"] - n["unknown_category"] - n["train"] - n["test"]
+    parts = sum(n[name] for name in ("unknown_category", "no_text", "train", "test"))
+    if parts != n["documents"]:
+        raise RuntimeError(f"{n['documents']} documents, but {parts} are accounted for: {n}")
     return intake.sparkSession.createDataFrame(
         [(None, name, float(count)) for name, count in n.items()],
         "category string, metric string, value double",

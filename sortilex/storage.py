@@ -2,29 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
 
-@lru_cache(maxsize=1)
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="sortilex-")
-
-
 def shared_folder(spark: SparkSession, *parts: str) -> str:
-    """A path below the folder named by ``spark.checkpoint.dir``.
+    """A path below ``spark.checkpoint.dir``, or else below the warehouse.
 
-    Only a local session may do without that setting: there the driver is the
-    one executor, so a temporary folder is shared by all of it.
+    All executors share both; a folder of one machine never serves.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _local_root()
+        root = f"{warehouse.rstrip('/')}/sortilex-work"
     return "/".join((root.rstrip("/"), *parts))
 
 

@@ -7,7 +7,6 @@ from sortilex.operators import (
     encode_category,
     reject_unknown_category,
 )
-from sortilex.operators import category as module
 
 ROWS = [(1, "peachy"), (2, "smax"), (3, "Peachy"), (4, None), (5, ""), (6, "peachy ")]
 
@@ -40,9 +39,17 @@ def test_encode(docs):
     assert {r.id: r.label for r in got.collect()} == EXPECTED
 
 
-def test_encode_without_broadcast(docs, plan, monkeypatch):
-    """Beyond the size bound the same rows come from a join Spark chooses."""
-    monkeypatch.setattr(module, "MAX_BROADCAST_CATEGORIES", 3)
+def test_a_large_domain_is_not_broadcast(docs, plan):
+    """At default settings; Spark puts a row of the domain at 16 bytes."""
+    names = [f"c{i}" for i in range(800_000)] + ["peachy"]
+    got = encode_category(docs, "name", names)
+    assert "Broadcast" not in plan(got)
+    assert {r.id: r.label for r in got.collect()} == {**dict.fromkeys(EXPECTED), 1: 800_000}
+    assert "BroadcastHashJoin" in plan(encode_category(docs, "name"))
+
+
+def test_encode_without_broadcast(docs, plan):
+    """The same rows come from a join that shuffles."""
     docs.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         got = encode_category(docs, "name")

@@ -7,6 +7,7 @@ from sortilex.operators import (
     ClassifierParams,
     encode_category,
     fit_classifier,
+    fit_unsaved,
     load_classifier,
     score_batch,
     score_batch_udf,
@@ -68,9 +69,13 @@ def test_save_load_score(spark, model, tmp_path):
     path = str(tmp_path / "model")
     train = encode_category(examples(spark, TEXTS), "category", NAMES)
     fit_classifier(train.limit(3), PARAMS, NAMES, path=path)
-    saved = fit_classifier(train, PARAMS, NAMES, path=path)
+    fitted = fit_unsaved(train, PARAMS, NAMES)
     cut = train.select("truncated_text")
-    assert as_rows(score_batch(cut, load_classifier(path), NAMES)) == as_rows(score_batch(cut, saved, NAMES))
+    before = as_rows(score_batch(cut, fitted, NAMES))
+    fitted.write().overwrite().save(path)
+    assert as_rows(score_batch(cut, load_classifier(path), NAMES)) == before
+    fit_classifier(train.limit(3), PARAMS, NAMES, path=path)
+    assert as_rows(score_batch(cut, load_classifier(path), NAMES)) != before
 
 
 def test_rows_without_a_label_are_not_used(spark, model):

@@ -207,11 +207,8 @@ def test_a_dominant_join_key_is_split(spark, small_partitions, plan):
     assert "skew=true" in plan(joined)
 
 
-def test_a_dominant_unknown_category_is_split(spark, small_partitions, plan, monkeypatch):
+def test_a_dominant_unknown_category_is_split(spark, small_partitions, plan):
     """The same where a domain is too large to broadcast."""
-    from sortilex.operators import category
-
-    monkeypatch.setattr(category, "MAX_BROADCAST_CATEGORIES", 1)
     docs = spark.range(0, 60_000, 1, 16).selectExpr(
         "sha2(string(id), 512) as text", "if(id % 3 = 0, 'unknown', concat('c', id % 500)) as name"
     )
