@@ -222,6 +222,7 @@ def _with_possible_partner(members: DataFrame, classes: DataFrame, documents: Da
     Adds ``n``, the size of the node's set, and ``common``, the shingles that it
     shares with any other text still in question. No intersection is larger, so
     a text with too many shingles of its own drops out here, before pairs form.
+    ``keys`` lists the buckets where the node is left.
     """
     nodes = members.select("node").distinct()
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -242,7 +243,11 @@ def _with_possible_partner(members: DataFrame, classes: DataFrame, documents: Da
     sized = stored(members.join(sizes, "node"), "sized")
     least = sized.groupBy("key").agg(F.min("n").alias("least"))
     best = F.col("n") + F.greatest("common", "least") - F.col("common")
-    return sized.join(least, "key").filter(100 * F.col("common") >= PERCENT * best).drop("least")
+    possible = sized.join(least, "key").filter(100 * F.col("common") >= PERCENT * best)
+    possible = stored(possible.drop("least"), "possible")
+    # All its buckets, at most one per band, so that a pair can form in the least alone.
+    keys = possible.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    return possible.join(keys, "node")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -302,8 +307,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     right = left.select("key", *(F.col(c).alias(f"other_{c}") for c in left.columns if c != "key"))
     common = F.least("common", "other_common")
     rest = (
-        left.join(right, "key")
+        left.join(right.withColumnRenamed("key", "other_key"), F.col("key") == F.col("other_key"))
         .filter(F.col("component") < F.col("other_component"))
+        .filter(F.col("key") == F.array_min(F.array_intersect("keys", "other_keys")))
         .filter(100 * common >= PERCENT * (F.col("n") + F.col("other_n") - common))
         .select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"))
         .distinct()
