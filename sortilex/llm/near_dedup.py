@@ -309,7 +309,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     rest = (
         left.join(right.withColumnRenamed("key", "other_key"), F.col("key") == F.col("other_key"))
         .filter(F.col("component") < F.col("other_component"))
-        .filter(F.col("key") == F.array_min(F.array_intersect("keys", "other_keys")))
+        .filter(
+            ~F.exists("keys", lambda k: (k < F.col("key")) & F.array_contains("other_keys", k))
+        )
         .filter(100 * common >= PERCENT * (F.col("n") + F.col("other_n") - common))
         .select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"))
         .distinct()
