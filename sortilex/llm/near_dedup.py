@@ -190,8 +190,7 @@ def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def confirmed_links(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     """The pairs whose full shingle sets reach the threshold."""
-    needed = pairs.select(F.col("a").alias("doc_id")).distinct()
-    needed = needed.union(pairs.select("b").distinct()).distinct()
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     texts = stored(texts.join(needed, "doc_id", "left_semi"), "texts")
     for side in "ab":
@@ -318,8 +317,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         .join(stars, ["a", "b"], "left_anti")
     )
     more = confirmed_links(stored(likely_pairs(rest, classes), "likely"), documents)
-    links = links.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    parts = connected_components(links)
+    more = stored(more.select(F.col("a").alias("u"), F.col("b").alias("v")), "second")
+    parts = connected_components(links.unionByName(more))
 
     classed = (
         sketches.join(
