@@ -106,9 +106,11 @@ def scan_licenses(documents: DataFrame, known: DataFrame | None = None) -> DataF
     ``line`` where a line of it is; ``n`` counts the places. A null or empty
     text, or one of signs alone, has no license. Rows that repeat a doc_id are
     counted together, also those of a null doc_id. Only doc_id and text are read.
-    What is exploded is matched at once, so only finds are shuffled.
+    The built-in licenses, a fixed list, are broadcast: what is exploded is
+    matched at once, and only finds are shuffled. A caller's table is joined as
+    its size demands.
     """
-    known = known_digests(documents.sparkSession) if known is None else known
+    known = F.broadcast(known_digests(documents.sparkSession)) if known is None else known
     lines = canonical_lines(F.col("text").cast("string"))
     units = documents.select("doc_id", lines.alias("lines")).select(
         "doc_id",
