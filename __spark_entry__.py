@@ -15,6 +15,7 @@ from functools import partial
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,8 +44,11 @@ from sortilex.plans import (  # noqa: E402
     attach_labels,
     count_examples,
     fit_and_evaluate,
+    label_coverage,
+    load_registered,
     prepare_examples,
     score_table,
+    score_to_endpoint,
     serve,
     train,
     with_text,
@@ -203,6 +207,10 @@ def labelled_examples(spark, sf_dir):
     return labelled.select("doc_id", "truncated_text", "quality", "toxic")
 
 
+def labels_covered(spark, sf_dir):
+    return label_coverage(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
 # --- evaluation with a fixed rule --------------------------------------------
 
 
@@ -296,6 +304,39 @@ def known_answers(spark, sf_dir):
     return score_batch(cut, model, LANGS).select("doc_id", "prediction", "predicted_category")
 
 
+def _checked_metrics(metrics):
+    """Of a fitted model's metrics what holds for any good fit, one row per class.
+
+    ``consistent``: the ratios follow from the counts and no count exceeds another
+    that bounds it. ``beats_majority``: over all classes more rows are right than
+    the most frequent class has.
+    """
+    hits, support, predicted = F.col("true_positive"), F.col("support"), F.col("predicted")
+    ratios = (
+        F.col("precision").eqNullSafe(F.try_divide(hits, predicted))
+        & F.col("recall").eqNullSafe(F.try_divide(hits, support))
+        & F.col("f1").eqNullSafe(F.try_divide(2 * hits, support + predicted))
+    )
+    overall = metrics.agg((F.sum(hits) > F.max(support)).alias("beats_majority"))
+    # One row beside a row per class.
+    return metrics.select(
+        "label",
+        "category",
+        "support",
+        (ratios & hits.between(0, F.least(support, predicted))).alias("consistent"),
+        F.lit(1).alias("one"),
+    ).join(overall.withColumn("one", F.lit(1)), "one").drop("one")
+
+
+def fit_language_checked(spark, sf_dir):
+    return _checked_metrics(fit_language(spark, sf_dir))
+
+
+def fit_quality_checked(spark, sf_dir):
+    """Without ``beats_majority``: in the small tables this fit calls every text high."""
+    return _checked_metrics(fit_quality(spark, sf_dir)).drop("beats_majority")
+
+
 def language_support(spark, sf_dir):
     """Of the fitted model's metrics, the counts that do not depend on the fit."""
     metrics = fit_language(spark, sf_dir)
@@ -310,7 +351,26 @@ def language_support(spark, sf_dir):
 def train_language(spark, sf_dir):
     """The whole training job: prepare, fit, save, evaluate, record, read back."""
     _, stored = train(_documents(spark, sf_dir), "lang", _settings(spark, LANGS), _params(spark))
-    return stored
+    return _checked_run(stored)
+
+
+def _checked_run(stored):
+    """Every stored row; ``value`` only where it does not depend on the fit.
+
+    ``in_range``: a ratio is null or lies within 0 and 1, a count is whole and
+    not negative.
+    """
+    ratio = F.col("metric").isin("precision", "recall", "f1")
+    fitted = ratio | F.col("metric").isin("predicted", "true_positive")
+    value = F.col("value")
+    whole = F.coalesce((value >= 0) & (value == F.floor(value)), F.lit(False))
+    return stored.select(
+        "category",
+        "metric",
+        "run_id",
+        F.when(~fitted, value).alias("value"),
+        F.when(ratio, F.coalesce(value.between(0, 1), F.lit(True))).otherwise(whole).alias("in_range"),
+    )
 
 
 def train_counts(spark, sf_dir):
@@ -320,6 +380,98 @@ def train_counts(spark, sf_dir):
     return stored.filter("category is null").select("metric", "value")
 
 
+def _term_buckets(terms, hashing):
+    """The feature that each term of ``terms`` is hashed to."""
+    hashed = hashing.transform(terms.select("term", F.array("term").alias(hashing.getInputCol())))
+    vector = F.col(hashing.getOutputCol()).cast("string")
+    return hashed.select("term", F.regexp_extract(vector, r"\[(\d+)\]", 1).cast("long").alias("bucket"))
+
+
+def recomputed_probabilities(cut, model):
+    """Rows ``(doc_id, p)``: class probabilities by joins of term counts with weights.
+
+    A second way beside the model's own: the counts of exploded terms meet a
+    table of the weights times the IDF, and the sums go through the softmax. The
+    weights are bounded by the model's number of features.
+    """
+    hashing, idf, regression = model.stages[1:]
+    weights = regression.coefficientMatrix.toArray() * idf.idf.toArray()
+    intercepts = regression.interceptVector.toArray().tolist()
+    table = pa.table(
+        {"bucket": np.arange(weights.shape[1]), **{f"w{k}": row for k, row in enumerate(weights)}}
+    )
+    terms = cut.select("doc_id", F.explode(F.split("truncated_text", " ")).alias("term"))
+    terms = terms.filter("term <> ''").groupBy("doc_id", "term").agg(F.count("*").alias("n"))
+    buckets = _term_buckets(terms.select("term").distinct(), hashing)
+    sums = (
+        terms.join(buckets, "term")
+        .join(cut.sparkSession.createDataFrame(table), "bucket")
+        .groupBy("doc_id")
+        .agg(*(F.sum(F.col("n") * F.col(f"w{k}")).alias(f"m{k}") for k in range(len(weights))))
+    )
+    margins = F.array(*(F.col(f"m{k}") + b for k, b in enumerate(intercepts)))
+    sums = sums.select("doc_id", margins.alias("m"))
+    powers = F.transform("m", lambda x: F.exp(x - F.array_max("m")))
+    sums = sums.select("doc_id", powers.alias("e"))
+    total = F.aggregate("e", F.lit(0.0), lambda a, b: a + b)
+    return sums.select("doc_id", F.transform("e", lambda x: x / total).alias("p"))
+
+
+def checked_scores(scored, cut, model, names):
+    """One row per document: whether its score is there once, well formed and right.
+
+    ``right``: the confidence is the probability that ``recomputed_probabilities``
+    finds for the predicted class, and no class has a higher one. A document
+    without text must have null scores.
+    """
+    found = scored.groupBy("doc_id").agg(
+        F.count("*").alias("n"),
+        *(F.min(c).alias(c) for c in ("prediction", "predicted_category", "confidence")),
+    )
+    texts = cut.select("doc_id", (F.length("truncated_text") > 0).alias("scorable"))
+    every = texts.join(found, "doc_id", "left").join(
+        recomputed_probabilities(cut, model), "doc_id", "left"
+    )
+    scorable = F.coalesce("scorable", F.lit(False))
+    unscored = F.col("prediction").isNull() & F.col("confidence").isNull()
+    name = F.get(F.array(*map(F.lit, names)), F.col("prediction"))
+    own = F.get("p", F.col("prediction"))
+
+    def holds(test):
+        return F.when(scorable, F.coalesce(test, F.lit(False))).otherwise(unscored)
+
+    near = F.abs(own - F.col("confidence")) <= 1e-9
+    return every.select(
+        "doc_id",
+        F.coalesce(F.col("n") == 1, F.lit(False)).alias("scored_once"),
+        holds(name == F.col("predicted_category")).alias("named"),
+        holds(F.col("confidence").between(1 / len(names) - 1e-9, 1)).alias("bounded"),
+        holds(near & (own >= F.array_max("p") - 1e-9)).alias("right"),
+    )
+
+
+def score_batch_checked(spark, sf_dir):
+    model, _ = _language_model(spark, sf_dir)
+    scored = score_documents(spark, sf_dir)
+    return checked_scores(scored, _cut_documents(spark, sf_dir), model, LANGS)
+
+
+def score_stream_checked(spark, sf_dir):
+    model, _ = _language_model(spark, sf_dir)
+    scored = score_arriving(spark, sf_dir)
+    return checked_scores(scored, _cut_documents(spark, sf_dir), model, LANGS)
+
+
+def score_by_name(spark, sf_dir):
+    """Train a run, find its model by the settings alone, store the scores of an endpoint."""
+    documents, settings = _documents(spark, sf_dir), _settings(spark, LANGS)
+    model, _ = train(documents, "lang", settings, _params(spark))
+    endpoint = settings.prod_serving_endpoint_name
+    stored = score_to_endpoint(documents, load_registered(settings), settings, endpoint)
+    scored = stored.select("doc_id", "prediction", "predicted_category", "confidence")
+    return checked_scores(scored, _cut_documents(spark, sf_dir), model, LANGS)
+
+
 def score_documents(spark, sf_dir):
     model, _ = _language_model(spark, sf_dir)
     scored = score_table(_documents(spark, sf_dir), model, _settings(spark, LANGS))
@@ -423,19 +575,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "prepare_examples": prepared,
         "count_examples": counted,
         "labelled_examples": labelled_examples,
+        "label_coverage": labels_covered,
         "confusion_matrix": confusion,
         "class_metrics": partial(rule_metrics, held_out=False),
         "held_out_class_metrics": partial(rule_metrics, held_out=True),
-        "fit_classifier": fit_language,
+        "fit_classifier": fit_language_checked,
         "fit_classifier_support": language_support,
         "fit_classifier_known_answers": known_answers,
-        "fit_classifier_quality": fit_quality,
+        "fit_classifier_quality": fit_quality_checked,
         "train": train_language,
         "train_counts": train_counts,
-        "score_batch": score_documents,
+        "score_batch": score_batch_checked,
+        "score_batch_by_name": score_by_name,
         "score_batch_reloaded_model": reloaded_model_scores,
         "score_batch_udf": score_with_user_model,
-        "score_stream": score_arriving,
+        "score_stream": score_stream_checked,
         "score_stream_equals_batch": stream_equals_batch,
         "score_stream_udf": stream_with_user_model,
     }
@@ -488,8 +642,27 @@ def _run_sql(run_id: str, limit: int) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL for each query but those whose result depends on a fitted model."""
+    """SQL for each query; of fitted models, for what holds whatever the fit."""
     same_documents = "select doc_id, true as same from documents"
+    sound_scores = """
+        select doc_id, true as scored_once, true as named, true as bounded, true as "right"
+        from documents"""
+    language_tests = f"""
+        select lang as category from documents
+        where {_TEXT_SPLIT} = 'test' and len({_TOKENS}) > 0"""
+    quality_tests = f"""
+        select case quality when 0 then 'low' else 'high' end as category
+        from documents join labels using (doc_id)
+        where {_TEXT_SPLIT} = 'test' and len({_TOKENS}) > 0"""
+
+    def sound_metrics(tests, rows, more=""):
+        return f"""
+            with t as ({tests})
+            select v.label::int as label, v.category,
+                (select count(*) from t where t.category = v.category) as support,
+                true as consistent {more}
+            from (values {rows}) v(label, category)"""
+
     counts = f"""
         with t as (
             select source in ({_SOURCE_LIST}) as known, len({_TOKENS}) > 0 as has_text,
@@ -590,6 +763,44 @@ def oracle_sql() -> dict[str, str]:
         "fit_classifier_known_answers": f"""
             select doc_id, v.label::int as prediction, lang as predicted_category
             from documents join (values {_LANG_ROWS}) v(label, category) on lang = category""",
+        "fit_classifier": sound_metrics(
+            language_tests, _LANG_ROWS, ", true as beats_majority"
+        ),
+        "fit_classifier_quality": sound_metrics(
+            quality_tests, ", ".join(f"({i}, '{name}')" for i, name in enumerate(QUALITIES[:2]))
+        ),
+        "train": f"""
+            with t as ({language_tests}), k as (
+                select lang in (select category from (values {_LANG_ROWS}) v(label, category)) as known,
+                    len({_TOKENS}) > 0 as has_text, {_TEXT_SPLIT} as split
+                from documents
+            ), c as (
+                select count(*) as documents,
+                    count(*) filter (where not known) as unknown_category,
+                    count(*) filter (where known and not has_text) as no_text,
+                    count(*) filter (where known and has_text and split = 'train') as train,
+                    count(*) filter (where known and has_text and split = 'test') as test
+                from k
+            ), r as (
+                select v.category, m.metric, case when m.metric = 'support' then
+                    (select count(*) from t where t.category = v.category)::double end as value
+                from (values {_LANG_ROWS}) v(label, category), (values ('support'), ('predicted'),
+                    ('true_positive'), ('precision'), ('recall'), ('f1')) m(metric)
+                union all select null, metric, n::double
+                from (unpivot c on documents, unknown_category, no_text, train, test
+                    into name metric value n)
+            )
+            select category, metric, value, 'run_1' as run_id, true as in_range from r""",
+        "label_coverage": """
+            select (select count(*) from documents) as documents,
+                (select count(*) from labels) as labels,
+                (select count(*) from documents d
+                    where not exists (from labels l where l.doc_id = d.doc_id)) as unlabelled_documents,
+                (select count(*) from labels l
+                    where not exists (from documents d where d.doc_id = l.doc_id)) as orphan_labels""",
+        "score_batch": sound_scores,
+        "score_batch_by_name": sound_scores,
+        "score_stream": sound_scores,
         "score_batch_reloaded_model": same_documents,
         "score_batch_udf": user_model,
         "score_stream_equals_batch": same_documents,

@@ -1,15 +1,18 @@
 """Whole jobs put together from the operators."""
 
-from .examples import attach_labels, count_examples, prepare_examples, with_text
-from .serve import score_table, serve
+from .examples import attach_labels, count_examples, label_coverage, prepare_examples, with_text
+from .serve import load_registered, score_table, score_to_endpoint, serve
 from .train import fit_and_evaluate, train
 
 __all__ = [
     "attach_labels",
     "count_examples",
     "fit_and_evaluate",
+    "label_coverage",
+    "load_registered",
     "prepare_examples",
     "score_table",
+    "score_to_endpoint",
     "serve",
     "train",
     "with_text",

@@ -85,9 +85,10 @@ def count_examples(
     """
     known = X.is_known_category(F.col(category_col), categories)
     some_text = _text_test(unit)(F.col(text_col))
-    cut = truncate_documents(documents, max_length, unit, text_col)
-    marked = split_examples(cut, "truncated_text", threshold)
-    return marked.withColumn("split", F.when(known & some_text, F.col("split"))).agg(
+    # What is not usable is neither cut nor marked: a null text has a null split.
+    usable = documents.withColumn(text_col, F.when(known & some_text, F.col(text_col)))
+    cut = truncate_documents(usable, max_length, unit, text_col)
+    return split_examples(cut, "truncated_text", threshold).agg(
         *intake_counts(category_col, categories),
         no_text_count(category_col, categories, text_col, unit),
         *split_counts(),
@@ -107,6 +108,34 @@ def attach_labels(
     The cut comes before the join, so a shuffle moves at most ``max_length``
     units per document in place of whole texts. Neither side is broadcast by
     hint: Spark decides from their sizes, and AQE splits a key that dominates.
+
+    Documents without a label and labels without a document drop out;
+    ``label_coverage`` counts them. A key that repeats on either side gives a row
+    per pair.
     """
     cut = truncate_documents(documents, max_length, unit, text_col).drop(text_col)
     return cut.join(labels, key)
+
+
+def label_coverage(documents: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One row: documents, labels, and those of either without a partner.
+
+    Reads the keys alone and counts them per key before they move, so a key that
+    repeats is one row per task. A null key has no partner.
+    """
+    one, none = F.lit(1).alias, F.lit(0).alias
+    sides = documents.select(key, one("d"), none("l")).unionByName(
+        labels.select(key, none("d"), one("l"))
+    )
+    per_key = sides.groupBy(key).agg(F.sum("d").alias("d"), F.sum("l").alias("l"))
+    alone = F.col(key).isNull()
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))
+
+    return per_key.agg(
+        total(F.col("d")).alias("documents"),
+        total(F.col("l")).alias("labels"),
+        total(F.when(alone | (F.col("l") == 0), F.col("d"))).alias("unlabelled_documents"),
+        total(F.when(alone | (F.col("d") == 0), F.col("l"))).alias("orphan_labels"),
+    )

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import score_batch, truncate_documents
+from ..operators import load_classifier, score_batch, truncate_documents
 from ..settings import Settings
 from ..streaming import score_stream
 
@@ -23,6 +23,28 @@ def score_table(
     return score_batch(_cut(documents, settings, text_col), model, settings.categories)
 
 
+def load_registered(settings: Settings) -> PipelineModel:
+    """The model that the run of ``settings`` saved under its registered name."""
+    return load_classifier(settings.model_path)
+
+
+def score_to_endpoint(
+    documents: DataFrame,
+    model: PipelineModel,
+    settings: Settings,
+    endpoint: str,
+    text_col: str = "text",
+) -> DataFrame:
+    """Score a whole table under the name ``endpoint``, store the rows and read them back.
+
+    A later call replaces the rows. They lie apart from what ``serve`` writes
+    under the same name, whose folder keeps track of its own files.
+    """
+    path = settings.batch_scores_path(endpoint)
+    score_table(documents, model, settings, text_col).write.mode("overwrite").parquet(path)
+    return documents.sparkSession.read.parquet(path)
+
+
 def serve(
     arriving: DataFrame,
     model: PipelineModel,

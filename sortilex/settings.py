@@ -136,6 +136,10 @@ class Settings:
         """Folder that the scoring query named ``endpoint`` writes to."""
         return "/".join((self.storage_root, "scores", endpoint))
 
+    def batch_scores_path(self, endpoint: str) -> str:
+        """Folder of the scores of whole tables under the name ``endpoint``."""
+        return "/".join((self.storage_root, "batch_scores", endpoint))
+
     def checkpoint_path(self, endpoint: str) -> str:
         """Folder where the scoring query named ``endpoint`` keeps its progress."""
         return "/".join((self.storage_root, "checkpoints", endpoint))
