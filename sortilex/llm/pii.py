@@ -9,6 +9,11 @@ key can invert it.
 
 Numbers and dates count only if valid: a card number passes its check digit, an
 octet is at most 255, a date exists. The pseudonym is valid in the same way.
+
+Numbers side by side are one run; which of its groups are a value, the layouts of
+cards and the check sum decide. So the key's holder gets every text back, save
+where groups of a run overlap in two ways as a card: a pseudonym can make the
+other way pass its check sum too.
 """
 
 from __future__ import annotations
@@ -29,7 +34,24 @@ _PATTERNS = {
     "phone": r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}",
     "card": r"\d(?:[ -]?\d){12,18}",
 }
-_ANY = r"(?<![A-Za-z0-9])(?:" + "|".join(_PATTERNS.values()) + r")(?![A-Za-z0-9])"
+# Values that a run of numbers must not reach into: those with other signs in them.
+_OTHER_SIGNS = (
+    r"(?:\d{1,3}(?:\.\d{1,3}){3}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}"
+    r"|\d{3}\.\d{3}[ .-]\d{4}|\d{3}[ -]\d{3}\.\d{4})(?![A-Za-z0-9])"
+)
+# Groups of digits that may hold a card, with 13 digits or more. Its loop is
+# possessive, so that a long run needs no deep stack.
+_RUN = (
+    rf"(?=\d(?:[ -]?\d){{12}})(?!{_OTHER_SIGNS})\d++(?![A-Za-z0-9])"
+    rf"(?:(?:-| (?!{_PATTERNS['email']}))(?!{_OTHER_SIGNS})\d++(?![A-Za-z0-9]))*+"
+)
+_FIRST = ("email", "secret")
+_ANY = (
+    r"(?<![A-Za-z0-9])(?:"
+    + "|".join([*(_PATTERNS[k] for k in _FIRST), _RUN, *(p for k, p in _PATTERNS.items() if k not in _FIRST)])
+    + r")(?![A-Za-z0-9])"
+)
+_LAYOUTS = r"^(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})$"
 _HINT = r"[0-9]|@|password="
 _DATE_FORMATS = {
     r"^\d{4}-": "yyyy-MM-dd",
@@ -210,6 +232,81 @@ def value_kind(text: Column) -> Column:
     )
 
 
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _values_of_run(run: Column) -> Column:
+    """Pairs ``(gap, value)`` that make up a run of groups of digits.
+
+    A value starts and ends with a group. Cards in a usual layout come first, then
+    dates and numbers of other kinds, then any 13 to 19 digits that pass the check
+    sum, the longest at the first place. Every start is tried.
+    """
+    valid = lambda text: _check_sum(_digits(text)) % 10 == 0
+    whole = "|".join(_PATTERNS[k] for k in ("date", "ssn", "phone"))
+
+    def cut(words: Column) -> Column:
+        n = F.size(words)
+        joined = lambda i, k: F.array_join(F.slice(words, i, k), "")
+        bare = lambda i, k: F.regexp_replace(joined(i, k), "^[ -]", "")
+        up_to = lambda k, i: F.least(F.lit(k), n - i + 1)
+
+        def card(i: Column) -> Column:
+            fits = lambda k: _bind(bare(i, F.lit(k)), lambda t: t.rlike(_LAYOUTS) & valid(t))
+            at = lambda k: (i + (k - 1) <= n) & fits(k)
+            return F.when(at(1), 1).when(at(4), 4).when(at(3), 3).otherwise(0)
+
+        def scan(cards: Column) -> Column:
+            free = lambda i, k: F.forall(F.slice(cards, i + 1, k - 1), lambda c: c == 0)
+
+            def length(i: Column) -> Column:
+                any_card = F.filter(
+                    F.sequence(up_to(19, i), F.lit(1), F.lit(-1)),
+                    lambda k: F.when(free(i, k), _bind(bare(i, k), lambda t: t.rlike(f"^{_PATTERNS['card']}$") & valid(t))).otherwise(False),
+                )
+                other = (i + 2 <= n) & free(i, F.lit(3)) & bare(i, F.lit(3)).rlike(f"^(?:{whole})$")
+                return F.when(cards[i - 1] > 0, cards[i - 1]).when(other, 3).otherwise(F.coalesce(F.get(any_card, F.lit(0)), F.lit(0)))
+
+            def step(state: Column, i: Column) -> Column:
+                def taken(k: Column) -> Column:
+                    pair = F.struct(
+                        F.concat(
+                            joined(state["next"], i - state["next"]), F.regexp_extract(words[i - 1], "^[ -]?", 0)
+                        ).alias("gap"),
+                        bare(i, k).alias("value"),
+                    )
+                    return F.when(
+                        k > 0,
+                        F.struct((i + k).alias("next"), F.concat(state["pairs"], F.array(pair)).alias("pairs")),
+                    ).otherwise(state)
+
+                return F.when(i < state["next"], state).otherwise(_bind(length(i), taken))
+
+            start = F.struct(
+                F.lit(1).alias("next"), F.array().cast("array<struct<gap:string,value:string>>").alias("pairs")
+            )
+            return F.aggregate(
+                F.sequence(F.lit(1), n),
+                start,
+                step,
+                lambda end: F.concat(
+                    end["pairs"],
+                    F.array(
+                        F.struct(
+                            F.array_join(F.slice(words, end["next"], n), "").alias("gap"),
+                            F.lit("").alias("value"),
+                        )
+                    ),
+                ),
+            )
+
+        return _bind(F.transform(F.sequence(F.lit(1), n), card), scan)
+
+    return _bind(F.regexp_extract_all(run, F.lit(r"[ -]?\d+"), F.lit(0)), cut)
+
+
 def pseudonym(text: Column, key: str, invert: bool = False) -> Column:
     """The value's pseudonym in its own format, or the value if it is not valid."""
     kind = value_kind(text)
@@ -237,18 +334,25 @@ def pseudonymise(documents: DataFrame, key: str, invert: bool = False) -> DataFr
     columns = [c for c in documents.columns if c not in ("text", "n_values")]
     rows = documents.select(*columns, text.alias("text"), found.alias("__found"))
     # Values are permuted where there are any; most rows only pass.
+    some = F.coalesce(F.size("__found"), F.lit(0)) > 0
+    pairs = F.flatten(
+        F.zip_with(
+            F.split("text", _ANY, -1),
+            "__found",
+            lambda gap, value: F.when(
+                value.rlike(r"^\d+[ -][\d -]+$") & (F.length(_digits(value)) >= 13),
+                F.concat(
+                    F.array(F.struct(gap.alias("gap"), F.lit("").alias("value"))), _values_of_run(value)
+                ),
+            ).otherwise(F.array(F.struct(gap.alias("gap"), F.coalesce(value, F.lit("")).alias("value")))),
+        )
+    )
+    rows = rows.select(*columns, "text", F.when(some, pairs).alias("__pairs"))
+    some = F.col("__pairs").isNotNull()
     changed = F.array_join(
-        F.flatten(
-            F.zip_with(
-                F.split("text", _ANY, -1),
-                F.transform("__found", lambda value: pseudonym(value, key, invert)),
-                lambda gap, value: F.array(gap, F.coalesce(value, F.lit(""))),
-            )
-        ),
-        "",
+        F.transform("__pairs", lambda p: F.concat(p["gap"], pseudonym(p["value"], key, invert))), ""
     )
-    some = F.coalesce(F.size("__found"), F.lit(0)) > 0
-    valid = F.size(F.filter("__found", lambda value: value_kind(value).isNotNull()))
+    valid = F.size(F.filter("__pairs", lambda p: value_kind(p["value"]).isNotNull()))
     done = rows.select(
         *columns,
         F.when(some, changed).otherwise(F.col("text")).alias("text"),

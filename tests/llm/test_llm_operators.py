@@ -293,6 +293,38 @@ def test_pseudonyms_keep_format_and_links_and_can_be_inverted(spark, odd, none):
     assert pii.pseudonymise(odd, "k").count() == 8 and pii.pseudonymise(none, "k").count() == 0
 
 
+def test_cards_beside_other_numbers(spark):
+    card, spaced = "4539148803436467", "4539 1488 0343 6467"
+    beside = [
+        "{} 12/26", "{} 123", "2 {}", "2024 {}", "{} 988-555-2485", "{} 2024-05-01", "5 {} 1", "17-{}-3", "{} 12.5",
+        "555 123 {}", "1 2 3 {} 4 5 6", "{} 7.jo@mail3.example.com", "2024 {} 2024 9",
+    ]
+    texts = [card, spaced, *(b.format(c) for b in beside for c in (card, spaced))]
+    texts += ["3782-822463-10005 12", "9 45 39 14 88 03 43 64 67 1", "1 078-05-1120 2024-05-01 12", "12 988 555 2485 2024"]
+    texts += ["4539148803436468 12/26", "12345678901234567890 1", "1 2 " * 3 + "0" * 20]
+    texts.append("7 " * 20_000 + card)  # a run too long for a deep stack
+    docs = table(spark, texts)
+    rows = by_id(pii.pseudonymise(docs, "k"))
+    out, n = ([rows[i][c] for i in range(len(texts))] for c in ("text", "n_values"))
+    assert out[1].replace(" ", "") == out[0] != card
+    for i, (b, c) in enumerate((b, c) for b in beside for c in (0, 1)):
+        start, end = b.split("{}")
+        assert out[c] in out[2 + i], (b, out[2 + i])
+        assert n[2 + i] == 1 + ("-555-" in b or "-05-" in b or "@" in b)
+        if n[2 + i] == 1:
+            assert out[2 + i] == start + out[c] + end
+        else:
+            assert end not in out[2 + i]
+    k = 2 + 2 * len(beside)
+    assert n[k] == 1 and out[k].endswith(" 12") and "822463" not in out[k]
+    assert n[k + 1] >= 1 and "39 14 88" not in out[k + 1]
+    assert n[k + 2] == 2 and not re.search("078|1120|2024-05", out[k + 2])
+    assert n[k + 3] == 1 and re.fullmatch(r"12 \d{3} \d{3} \d{4} 2024", out[k + 3]) and "988 555" not in out[k + 3]
+    for i in range(k + 4, len(texts) - 1):
+        assert out[i] == texts[i] and n[i] == 0
+    assert n[-1] == 1 and out[-1] == "7 " * 20_000 + out[0]
+
+
 def test_license_scan(spark, odd, none):
     mit = license_scan.KNOWN_LICENSES[0][1]
     texts = [
