@@ -68,24 +68,53 @@ EQUIVALENT = (
     ("licens", r"\bv(?:er)?\.? ?(?=\d)", "version "),
 )
 _COPYRIGHT_MARKS = ("copyright", "(c)", "\u00a9", "all rights reserved")
-_COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# A notice by its own wording: a mark, a year or a place for one, or the phrase alone.
+_NOTICE = (
+    r"(?m)^[^\p{L}\p{N}\n]*(?:copyright[^\p{L}\p{N}\n]*(?:\(c\)|©|\d{4}|[<\[{])[^\n]*|\(c\)[ :,]*(?:\d{4}|[<\[{])[^\n]*"
+    r"|©[^\n]*|all rights reserved[^\p{L}\p{N}\n]*)$"
+)
+_STARTS = r"[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*"
+# Any line with such a start, where a paragraph starts with it, or anywhere: holders
+# without a year or mark. A license's own lines can look alike.
+_NOTICE_BLOCK = rf"(?:\A|(?<=\n)[^\p{{L}}\p{{N}}\n]*\n)(?:{_STARTS}(?:\n|\z))+"
+_LOOSE_NOTICE = rf"(?m)^{_STARTS}$"
+
+
+def _any_of(text: Column, parts) -> Column:
+    found = F.lit(False)
+    for part in parts:
+        found = found | text.contains(part)
+    return found
+
+
+def _respelt(text: Column) -> Column:
+    # Few texts hold what the rules rewrite; the others pass on at the cost of a search.
+    rewritten = text
+    for _, pattern, spelling in EQUIVALENT:
+        rewritten = F.regexp_replace(rewritten, pattern, spelling)
+    hints = _any_of(text, [part for part, _, _ in EQUIVALENT])
+    return F.regexp_replace(F.when(hints, rewritten).otherwise(text), r"[^\p{L}\p{N}\n]+", " ")
 
 
 def canonical_lines(text: Column) -> Column:
     """The text in canonical form, with its line breaks still in it.
 
-    Lower case, copyright lines empty, equivalent spellings made one, and every
+    Lower case, copyright notices empty, equivalent spellings made one, and every
     run of signs other than letters and digits a single space.
     """
     out = F.lower(text)
-    # Few texts hold what the rules rewrite; the others pass on at the cost of a search.
-    hints = F.lit(False)
-    for part in (*_COPYRIGHT_MARKS, *(part for part, _, _ in EQUIVALENT)):
-        hints = hints | out.contains(part)
-    rewritten = F.regexp_replace(out, _COPYRIGHT_LINE, "")
-    for _, pattern, spelling in EQUIVALENT:
-        rewritten = F.regexp_replace(rewritten, pattern, spelling)
-    return F.regexp_replace(F.when(hints, rewritten).otherwise(out), r"[^\p{L}\p{N}\n]+", " ")
+    marked = _any_of(out, _COPYRIGHT_MARKS)
+    return _respelt(F.when(marked, F.regexp_replace(out, _NOTICE, "")).otherwise(out))
+
+
+def _loose_forms(text: Column) -> Column:
+    """Canonical forms without lines that may be notices or the license's own wording."""
+    out = F.lower(text)
+    strict = F.regexp_replace(out, _NOTICE, "")
+    forms = (F.regexp_replace(strict, _NOTICE_BLOCK, "\n"), F.regexp_replace(strict, _LOOSE_NOTICE, ""))
+    return F.when(
+        _any_of(out, _COPYRIGHT_MARKS), F.array(*(_whole(_respelt(form)) for form in forms))
+    ).otherwise(F.array().cast("array<string>"))
 
 
 def _whole(lines: Column) -> Column:
@@ -111,12 +140,16 @@ def scan_licenses(documents: DataFrame, known: DataFrame | None = None) -> DataF
     its size demands.
     """
     known = F.broadcast(known_digests(documents.sparkSession)) if known is None else known
-    lines = canonical_lines(F.col("text").cast("string"))
-    units = documents.select("doc_id", lines.alias("lines")).select(
+    text = F.col("text").cast("string")
+    # A text is tried with and without the lines that may be notices.
+    forms = F.array_distinct(F.concat(F.array(_whole(F.col("lines"))), F.col("loose")))
+    units = documents.select(
+        "doc_id", canonical_lines(text).alias("lines"), _loose_forms(text).alias("loose")
+    ).select(
         "doc_id",
         F.explode(
             F.concat(
-                F.array(F.struct(F.lit("document").alias("scope"), _whole(F.col("lines")).alias("body"))),
+                F.transform(forms, lambda body: F.struct(F.lit("document").alias("scope"), body.alias("body"))),
                 F.transform(
                     F.split("lines", "\n"),
                     lambda line: F.struct(F.lit("line").alias("scope"), F.trim(line).alias("body")),

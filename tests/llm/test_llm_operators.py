@@ -337,6 +337,22 @@ def test_license_scan(spark, odd, none):
     assert license_scan.scan_licenses(odd).count() == 0 and license_scan.scan_licenses(none).count() == 0
 
 
+def test_license_texts_as_wrapped_by_their_authors(spark):
+    known = license_scan.KNOWN_LICENSES
+    isc, mit = known[2][1], known[1][1]
+    isc = isc.replace("for any purpose", "for any\npurpose").replace("provided that the above ", "provided that the above\n")
+    isc = isc.replace("all copies. ", "all copies.\n\n")
+    mit = mit.replace("conditions: ", "conditions:\n\n").replace("AUTHORS OR COPYRIGHT", "AUTHORS OR\nCOPYRIGHT")
+    assert "\ncopyright notice" in isc and "\nCOPYRIGHT HOLDERS" in mit
+    heads = ["", "Copyright (c) 2020 Jo\n\n", "(C) 2001, 2002 Jo\nAll rights reserved.\n\n", "Copyright Jo\nCopyright Al\n\n"]
+    texts = [h + t for t in (isc, mit) for h in heads]
+    texts += ["MIT License\nCopyright Jo\n" + known[1][1], "All rights of the holder\n" + mit, "Copyright 2020 Jo"]
+    found = license_scan.scan_licenses(table(spark, texts)).filter("scope = 'document'").collect()
+    assert sorted((r["doc_id"], r["license_id"], r["n"]) for r in found) == [
+        *((i, "ISC", 1) for i in range(4)), *((i, "MIT", 1) for i in range(4, 9)),
+    ]
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     rng = np.random.default_rng(8)
