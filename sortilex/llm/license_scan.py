@@ -27,6 +27,41 @@ _ISC_END = (
     "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE "
     "OF THIS SOFTWARE."
 )
+_BSD_TERMS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: "
+    "{}Redistributions of source code must retain the above copyright notice, this list of conditions "
+    "and the following disclaimer. "
+    "{}Redistributions in binary form must reproduce the above copyright notice, this list of "
+    "conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution. "
+)
+_BSD_NAMES = (
+    "{}Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+    "or promote products derived from this software without specific prior written permission. "
+)
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR '
+    "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+    "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT {} OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+    "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+    "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT "
+    "OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+
+def _bsd():
+    """BSD texts with and without a title and numbers, and by holder or owner."""
+    for name, title in (("BSD-2-Clause", "BSD 2-Clause License "), ("BSD-3-Clause", "BSD 3-Clause License ")):
+        for head in ("", title):
+            for marks in (("1. ", "2. ", "3. "), ("* ", "* ", "* ")):
+                for liable in ("HOLDER", "OWNER", "HOLDERS"):
+                    names = _BSD_NAMES.format(marks[2]) if name == "BSD-3-Clause" else ""
+                    yield name, head + _BSD_TERMS.format(*marks) + names + _BSD_END.format(liable)
+
+
 KNOWN_LICENSES = (
     ("MIT", "MIT License " + _MIT_GRANT),
     ("MIT", _MIT_GRANT),
@@ -54,6 +89,29 @@ KNOWN_LICENSES = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    *_bsd(),
+)
+# Canonical digests of long texts as their authors publish them; where
+# there is an appendix on how to apply them, also of the text up to its terms' end.
+KNOWN_DIGESTS = (
+    ("Apache-2.0", "75acde0fb516a7ba4597dfc23680cf78281f7fae7f3b74a78e06ef83c1c375c6"),
+    ("Apache-2.0", "f9138026e58bdb767e6c6e974637ff9aacbaedf2695e30fef144e5d7d84448ff"),
+    ("Apache-2.0", "6fb8411669deea22294b6190fad00b8e39899d0b7b6c5cf97a3b15b47e129c38"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-2.0", "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34"),
+    ("GPL-2.0", "6d332dc4c3c5293a73c6c9da402f9bbc970b3bb1eb472f577e00580573469808"),
+    ("GPL-3.0", "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a"),
+    ("GPL-3.0", "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636"),
+    ("GPL-3.0", "092a7f3b82e6c22949b46388bca99e725b6e756f1c2b1e3f575447fbd44b6191"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.0", "504542bce5421b0f5a7e63ddb55443ccb300b27a65ba6bfc1370fed16a3af260"),
+    ("LGPL-2.0", "430627da7218a92ab4a6d75d5140cdb70ee750be7a53f913299b37e0d1b0eea2"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-2.1", "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4"),
+    ("LGPL-2.1", "bf2f0c6bf1c47b3b1e3cbedeefecddd1e7db21d1919858d45c2f918efaf426df"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-2.0", "cf4fdc07202ec6d5439f2c5b5c7fefab577065eb74b364e6c6166bad4880fc48"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
 )
 
 # Spellings that count as equal, after lower-casing; the part that a
@@ -125,7 +183,10 @@ def known_digests(spark: SparkSession, licenses=KNOWN_LICENSES) -> DataFrame:
     """Rows ``(license_id, digest)`` of licenses given as ``(id, text)``."""
     rows = spark.createDataFrame(list(licenses), "license_id string, text string")
     digest = F.sha2(_whole(canonical_lines(F.col("text"))), 256)
-    return rows.select("license_id", digest.alias("digest")).distinct()
+    rows = rows.select("license_id", digest.alias("digest"))
+    if licenses is KNOWN_LICENSES:
+        rows = rows.union(spark.createDataFrame(list(KNOWN_DIGESTS), "license_id string, digest string"))
+    return rows.distinct()
 
 
 def scan_licenses(documents: DataFrame, known: DataFrame | None = None) -> DataFrame:

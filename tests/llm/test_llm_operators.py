@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import pathlib
 import re
 import zlib
 
@@ -353,6 +354,34 @@ def test_license_texts_as_wrapped_by_their_authors(spark):
     ]
 
 
+def test_entire_texts_of_usual_licenses(spark):
+    folder = pathlib.Path("/usr/share/common-licenses")
+    files = {
+        "Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0",
+        "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0",
+    }
+    have = [f for f in files if (folder / f).exists()]
+    texts, want = [], []
+    for f in have:
+        text = (folder / f).read_text()
+        end = text.find("END OF TERMS AND CONDITIONS")
+        forms = [text, text.upper(), text.replace("\n", "\r\n"), *([text[:end]] if end > 0 else [])]
+        texts += forms
+        want += [files[f]] * len(forms)
+        texts.append(text[: len(text) // 2])
+        want.append(None)
+    notice = "Copyright (c) 2020, Jo\nAll rights reserved.\n\n"
+    for name, text in license_scan._bsd():
+        body = re.sub(r"(.{60}\S*) ", r"\1\n", text)
+        texts += [notice + body, body[:-20]]
+        want += [name, None]
+    found = license_scan.scan_licenses(table(spark, texts)).filter("scope = 'document'").collect()
+    got = collections.defaultdict(set)
+    for r in found:
+        got[r["doc_id"]].add((r["license_id"], r["n"]))
+    assert [got[i] for i in range(len(texts))] == [{(w, 1)} if w else set() for w in want]
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     rng = np.random.default_rng(8)
