@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .conversation_repair import repair_conversations
+from .conversation_sql import CONVERSATION_REPAIR, PREFIX_TRIE
 from .decontaminate import contaminated
 from .license_scan import scan_licenses
 from .mixing import plan_mix
 from .near_dedup import near_duplicates
 from .pii import pseudonymise
 from .ppm import score_texts
+from .prefix_trie import prefix_trie
 from .quality_fm import fit_quality, score_quality
 from .rule_ledger import ledger, passes
+from .simhash_vp import simhash_components
 from .suffix_dedup import remove_repeats
 from .toxicity import fit_toxicity, score_toxicity
 
@@ -87,6 +91,18 @@ def pii(spark, sf_dir):
     return pseudonymise(documents, PII_KEY).select("doc_id", "text", "n_values")
 
 
+def simhash_dedup(spark, sf_dir):
+    return simhash_components(_table(spark, sf_dir, "documents"))
+
+
+def conversation_repair(spark, sf_dir):
+    return repair_conversations(_table(spark, sf_dir, "conversations"))
+
+
+def conversation_trie(spark, sf_dir):
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def llm_queries():
     return {
         "op1_license_scan": licenses,
@@ -99,11 +115,12 @@ def llm_queries():
         "op8_quality_rules": quality_rules,
         "op9_toxicity": toxicity,
         "op10_pii_pseudonyms": pii,
+        "op11_simhash_near_dedup": simhash_dedup,
+        "op12_conversation_repair": conversation_repair,
+        "op13_conversation_prefix_trie": conversation_trie,
     }
 
 
-_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^ \t\n\v\f\r]+')"
-
 _MIX = r"""
     with d as (
         select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size
@@ -147,4 +164,8 @@ _MIX = r"""
 
 def llm_sql():
     """SQL of the queries whose results SQL can express; the others have tests of their own."""
-    return {"op4_source_mixing": _MIX}
+    return {
+        "op4_source_mixing": _MIX,
+        "op12_conversation_repair": CONVERSATION_REPAIR,
+        "op13_conversation_prefix_trie": PREFIX_TRIE,
+    }
