@@ -9,9 +9,11 @@ tested on all 64 bits.
 
 A tree's vantage points come from a bounded sample; which shards exist depends on
 it, which links are found does not. Every fingerprint has one home shard per tree
-and visits the later shards that its distances cannot rule out. Shards that
-outgrow their bound are cut into chunks, and each pair of chunks is a group of
-its own, so no task holds an unbounded shard.
+and visits the later shards that its distances cannot rule out. A shard's
+residents and its visitors are each cut into chunks of bounded size, and each pair
+of chunks is a group of its own, so no task holds an unbounded shard. Visitors
+grow by a third with each level of a tree, so shards are large and are searched
+with a tree of their own.
 """
 
 from __future__ import annotations
@@ -36,9 +38,10 @@ SEED = 42
 BLOCKS = tuple(((1 << hi) - (1 << lo)) for lo, hi in ((0, 22), (22, 43), (43, 64)))
 BLOCK_RADIUS = RADIUS // len(BLOCKS)
 
-# Fingerprints per shard that a tree aims at, and that a task takes of one chunk.
-SHARD = 4_096
-CHUNK = 16_384
+# Residents per shard that a tree aims at; residents and visitors per chunk.
+SHARD = 16_384
+CHUNK = 65_536
+VISITORS = 4 * CHUNK
 # Shards per tree, and sampled fingerprints per shard: 16 MB of vantage points and
 # 16 MB of sample at most.
 MAX_SHARDS = 1 << 17
@@ -228,24 +231,24 @@ def _join(fps, a, b, mask, unions, same: bool) -> None:
             todo.append((a[~inner & (da - r <= reach)], b[~outer & (db + r > reach)], False))
 
 
-def _cell_links(fps: np.ndarray, home: np.ndarray, side: np.ndarray, mask: int):
+def _cell_links(fps: np.ndarray, home: np.ndarray, side: np.ndarray, own: bool, mask: int):
     """A spanning forest of the links in one group of rows: two arrays of fingerprints.
 
-    Rows of one chunk (``side`` all alike) are compared among themselves, those of
-    two chunks across. Two visitors need no comparison here.
+    Residents of one chunk (``side`` all alike) are compared among themselves if
+    ``own``, and with the visitors; those of two chunks across. Two visitors need
+    no comparison.
     """
-    order = np.argsort(~home, kind="stable")
-    fps, home, side = fps[order], home[order], side[order]
-    unions, at, mask = _Unions(len(fps)), np.arange(len(fps)), np.uint64(mask)
-    if (side == side[0]).all():
-        _join(fps, at[home], at[home], mask, unions, True)
-        _join(fps, at[home], at[~home], mask, unions, False)
-    else:
-        first = side == side.min()
-        _join(fps, at[home & first], at[~first], mask, unions, False)
-        _join(fps, at[~home & first], at[home & ~first], mask, unions, False)
-    roots = unions.roots(at)
-    moved = roots != at
+    unions, mask = _Unions(len(fps)), np.uint64(mask)
+    homes, visitors = np.flatnonzero(home), np.flatnonzero(~home)
+    if len(homes):
+        first = side[homes] == side[homes].min()
+        if own:
+            _join(fps, homes, homes, mask, unions, True)
+        else:
+            _join(fps, homes[first], homes[~first], mask, unions, False)
+        _join(fps, homes, visitors, mask, unions, False)
+    roots = unions.roots(np.arange(len(fps)))
+    moved = roots != np.arange(len(fps))
     return fps[moved].view(np.int64), fps[roots[moved]].view(np.int64)
 
 
@@ -260,7 +263,7 @@ def fingerprint_links(fingerprints: DataFrame, n: int) -> DataFrame:
     drawn = fingerprints.filter(
         F.xxhash64("fp").bitwiseAND(F.lit((1 << 20) - 1)) < F.lit(int(share * (1 << 20)) + 1)
     )
-    sample = np.array(sorted(r[0] for r in drawn.collect()), np.int64).view(np.uint64)
+    sample = np.sort(drawn.select("fp").toArrow()["fp"].to_numpy()).view(np.uint64)
     trees = Sent(
         fingerprints.sparkSession,
         [build_tree(sample, mask, shards, seed) for seed, mask in enumerate(BLOCKS)],
@@ -284,29 +287,36 @@ def fingerprint_links(fingerprints: DataFrame, n: int) -> DataFrame:
 
     schema = "tree int, shard int, fp long, home boolean"
     dealt = stored(fingerprints.select("fp").mapInArrow(deal, schema), "simhash-dealt")
-    sizes = dealt.groupBy("tree", "shard").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
-    # Chunk c of k meets all k chunks: cells (c, x) and (x, c), the lesser first.
-    chunk = F.pmod(F.xxhash64("fp", F.lit("chunk")), "chunks")
+    resident = F.col("home").cast("long")
+    sizes = dealt.groupBy("tree", "shard").agg(
+        F.ceil(F.sum(resident) / CHUNK).alias("chunks"),
+        F.ceil(F.greatest(F.sum(1 - resident), F.lit(1)) / VISITORS).alias("visits"),
+    )
+    # Chunk c of k residents meets all k: cells (c, x) and (x, c), the lesser first. The
+    # first chunk of visitors joins the cells (c, c), a later one y has cells (c, k + y).
+    side = F.pmod(F.xxhash64("fp", F.lit("chunk")), F.when(F.col("home"), F.col("chunks")).otherwise(F.col("visits")))
+    last = F.col("chunks") - 1 + F.when(F.col("home"), F.col("visits") - 1).otherwise(0)
+    met = F.col("met") < F.col("chunks")
+    pair = (F.least("side", "met"), F.greatest("side", "met"))
+    low = F.when(F.col("home"), F.when(met, pair[0]).otherwise(F.col("side"))).otherwise(F.col("met"))
+    high = (
+        F.when(F.col("home"), F.when(met, pair[1]).otherwise(F.col("met") + 1))
+        .when(F.col("side") == 0, F.col("met"))
+        .otherwise(F.col("chunks") + F.col("side"))
+    )
     cells = (
-        dealt.join(sizes, ["tree", "shard"])
-        .withColumn("side", chunk)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-        .select(
-            "tree",
-            "shard",
-            F.least("side", "other").alias("low"),
-            F.greatest("side", "other").alias("high"),
-            "side",
-            "fp",
-            "home",
-        )
+        dealt.join(sizes.filter("chunks > 0"), ["tree", "shard"])
+        .withColumn("side", side)
+        .withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        .select("tree", "shard", low.alias("low"), high.alias("high"), "side", "fp", "home")
     )
 
     def compare(table: pa.Table) -> pa.Table:
         mask = BLOCKS[table.column("tree")[0].as_py()]
         fps = table.column("fp").to_numpy().view(np.uint64)
         home = table.column("home").to_numpy(zero_copy_only=False).astype(bool)
-        u, v = _cell_links(fps, home, table.column("side").to_numpy(), mask)
+        own = table.column("low")[0] == table.column("high")[0]
+        u, v = _cell_links(fps, home, table.column("side").to_numpy(), own, mask)
         return pa.table({"u": u, "v": v})
 
     keys = ("tree", "shard", "low", "high")

@@ -49,7 +49,8 @@ def clustered(n, seed, flips):
 @pytest.mark.parametrize("flips", [2, 4, 7])
 def test_links_connect_what_all_pairs_connect(spark, monkeypatch, flips):
     monkeypatch.setattr(simhash_vp, "SHARD", 40)
-    monkeypatch.setattr(simhash_vp, "CHUNK", 64)
+    monkeypatch.setattr(simhash_vp, "CHUNK", 30)
+    monkeypatch.setattr(simhash_vp, "VISITORS", 25)
     monkeypatch.setattr(simhash_vp, "_FEW", 50)
     fps = clustered(1_500, flips, flips)
     table = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
@@ -70,6 +71,7 @@ def test_a_dense_shard_is_cut_into_chunks(spark, monkeypatch):
     """All fingerprints share a third of their bits, so no tree on it can split them."""
     monkeypatch.setattr(simhash_vp, "SHARD", 32)
     monkeypatch.setattr(simhash_vp, "CHUNK", 50)
+    monkeypatch.setattr(simhash_vp, "VISITORS", 60)
     rng = np.random.default_rng(4)
     low = np.zeros(800, np.uint64)
     for _ in range(5):
