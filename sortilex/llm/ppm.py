@@ -24,11 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import stored
-from .words import byte_chunks, find_words, mix, per_batch
+from .words import byte_chunks, find_words, per_batch
 
 ORDER = 4
 SYMBOLS = 257
-SHARE_BYTES = 32 << 20
+SHARE_BYTES = 16 << 20
+MAX_PARTITIONS = 20_000
 _END = 256
 _SYMBOL_BITS = 9
 _CONTEXT_BITS = 8 * ORDER
@@ -95,25 +96,40 @@ class _Tally:
 
 
 def _tally_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct keys of each share with their counts in training texts."""
+    """Distinct keys of each share with their counts in training texts.
+
+    Rows come sorted by share, and a share's keys leave when it ends.
+    """
     build = per_batch(["share", "key", "n"], [pa.int32(), pa.int64(), pa.int64()])
-    tallies: dict[int, _Tally] = {}
-    for batch in batches:
-        shares, learn = batch["share"].to_numpy(), batch["learn"].to_numpy(zero_copy_only=False)
-        for rows, data, offsets in byte_chunks(batch["text"]):
-            # The share of each text, and whether it is learned from.
-            group = shares[rows].astype(np.int64) * 2 + learn[rows]
-            for keys, first in (gram_keys(data, offsets), word_keys(data, offsets)):
-                of = np.repeat(group, np.diff(first))
-                for g in np.unique(group).tolist():
-                    tallies.setdefault(g // 2, _Tally()).add(keys[of == g], g % 2)
-            for g, n in zip(*(x.tolist() for x in np.unique(group, return_counts=True)), strict=True):
-                tallies[g // 2].add(np.full(n, _END_WORD), g % 2)
-    for share, tally in tallies.items():
+    current, tally = None, _Tally()
+
+    def finished() -> Iterator[pa.RecordBatch]:
         keys, counts = tally.merge()
         for at in range(0, len(keys), 100_000):
             part = keys[at : at + 100_000]
-            yield build(np.full(len(part), share, np.int32), part, counts[at : at + 100_000].astype(np.int64))
+            yield build(np.full(len(part), current, np.int32), part, counts[at : at + 100_000].astype(np.int64))
+
+    for batch in batches:
+        shares = batch["share"].to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(shares)) + 1).tolist(), len(shares)]
+        for begin, end in zip(edges[:-1], edges[1:], strict=True):
+            if begin == end:
+                continue
+            if current is not None and current != shares[begin]:
+                yield from finished()
+                tally = _Tally()
+            current = int(shares[begin])
+            run = batch.slice(begin, end - begin)
+            learn = run["learn"].to_numpy(zero_copy_only=False)
+            for rows, data, offsets in byte_chunks(run["text"]):
+                for keys, first in (gram_keys(data, offsets), word_keys(data, offsets)):
+                    of = np.repeat(learn[rows], np.diff(first))
+                    for weight in np.unique(learn[rows]).tolist():
+                        tally.add(keys[of == weight], int(weight))
+                for weight, n in zip(*np.unique(learn[rows], return_counts=True), strict=True):
+                    tally.add(np.full(n, _END_WORD), int(weight))
+    if current is not None:
+        yield from finished()
 
 
 def _shorter(key: Column, level: Column) -> Column:
@@ -252,44 +268,17 @@ _RESULT_TYPE = (
 )
 
 
-class _Table:
-    """Values by key in hashed slots; keys that meet in a slot go on to a next table."""
+class _Values:
+    """Values by key, in ascending order of the keys."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self.layers = []
-        for seed in range(64):
-            if not len(keys):
-                break
-            bits = max(4, int(np.ceil(np.log2(len(keys)))) + 2)
-            multiplier = mix(np.array([seed], np.uint64))[0] | _U(1)
-            slot = ((keys.view(_U) * multiplier) >> _U(64 - bits)).astype(np.int64)
-            at = np.full(1 << bits, -1, np.int64)
-            at[slot] = np.arange(len(keys))
-            placed = at[slot] == np.arange(len(keys))
-            own = np.zeros(1 << bits, np.int64)
-            own[slot[placed]] = keys[placed]
-            held = np.zeros(1 << bits)
-            held[slot[placed]] = values[placed]
-            self.layers.append((multiplier, _U(64 - bits), own, held))
-            keys, values = keys[~placed], values[~placed]
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """The values of keys that are all in the table."""
-        out = np.empty(len(keys))
-        rest = None
-        for multiplier, shift, own, held in self.layers:
-            slot = ((keys.view(_U) * multiplier) >> shift).astype(np.int64)
-            value, hit = held[slot], own[slot] == keys
-            if rest is None:
-                out[:] = value
-                rest = np.flatnonzero(~hit)
-            else:
-                out[rest] = value
-                rest = rest[~hit]
-            keys = keys[~hit]
-            if not len(keys):
-                break
-        return out
+        """The values of keys that are all known. Sorted keys are looked up in one sweep."""
+        distinct, at = np.unique(keys, return_inverse=True)
+        return self.values[np.searchsorted(self.keys, distinct)][at]
 
 
 def _per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -319,9 +308,13 @@ def score_texts(documents: DataFrame, share_bytes: int = SHARE_BYTES) -> DataFra
         F.coalesce(~held_out, F.lit(False)).alias("learn"),
     )
     share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shares)).cast("int")
-    dealt = dealt.withColumn("share", share).repartition(shares, "share")
+    dealt = dealt.withColumn("share", share)
+    # A share is a partition of its own, up to a bound on partitions.
+    width = min(shares, MAX_PARTITIONS)
+    by_share = dealt.select("share", "text", "learn").repartitionById(width, F.col("share") % width)
     tallies = stored(
-        dealt.mapInArrow(_tally_batches, "share int, key long, n long"), "tallies"
+        by_share.sortWithinPartitions("share").mapInArrow(_tally_batches, "share int, key long, n long"),
+        "tallies",
     )
     totals = stored(tallies.groupBy("key").agg(F.sum("n").alias("n")), "totals")
     grams, words = totals.filter("key >= 0"), totals.filter("key < 0")
@@ -336,7 +329,7 @@ def score_texts(documents: DataFrame, share_bytes: int = SHARE_BYTES) -> DataFra
 
     def score(texts: pa.Table, table: pa.Table) -> pa.Table:
         build = per_batch(*_RESULT)
-        find = _Table(table["key"].to_numpy(), table["value"].to_numpy()).find
+        find = _Values(table["key"].to_numpy(), table["value"].to_numpy()).find
         out = []
         for batch in texts.to_batches():
             for rows, data, offsets in byte_chunks(batch["text"]):
