@@ -28,8 +28,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from .components import connected_components
+from .id_filter import maybe_among
 from .store import stored
 from .words import byte_chunks, find_words, mix, per_batch, shingle_hashes
 
@@ -188,11 +190,16 @@ def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _texts_of(ids: DataFrame, documents: DataFrame) -> DataFrame:
+    """Rows ``(doc_id, text)`` of the stored ids; a Bloom filter stops most others from moving."""
+    texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return maybe_among(texts, ids).join(ids, "doc_id", "left_semi")
+
+
 def confirmed_links(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     """The pairs whose full shingle sets reach the threshold."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    texts = stored(texts.join(needed, "doc_id", "left_semi"), "texts")
+    texts = stored(_texts_of(stored(needed, "needed"), documents), "texts")
     for side in "ab":
         own = texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
         pairs = pairs.join(own, side)
@@ -223,9 +230,9 @@ def _with_possible_partner(members: DataFrame, classes: DataFrame, documents: Da
     a text with too many shingles of its own drops out here, before pairs form.
     ``keys`` lists the buckets where the node is left.
     """
-    nodes = members.select("node").distinct()
-    texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    texts = texts.join(nodes, texts.doc_id == nodes.node, "left_semi")
+    nodes = stored(members.select(F.col("node").alias("doc_id")).distinct(), "nodes")
+    texts = _texts_of(nodes, documents)
+    nodes = nodes.withColumnRenamed("doc_id", "node")
     own = (
         texts.mapInArrow(_shingle_batches, "node long, shingle long")
         .groupBy("shingle")
@@ -234,10 +241,14 @@ def _with_possible_partner(members: DataFrame, classes: DataFrame, documents: Da
         .groupBy("node")
         .agg(F.count("*").alias("own"))
     )
+    # A node that stands for several sets is not ruled out by what they hold together.
+    sets = classes.groupBy("node").agg(F.collect_set("n").alias("n"), F.count("*").alias("sets"))
+    sets = sets.select("node", F.explode("n").alias("n"), "sets")
+    unshared = F.when(F.col("sets") == 1, F.coalesce("own", F.lit(0))).otherwise(0)
     sizes = (
-        nodes.join(classes.select("node", "n").distinct(), "node")
+        nodes.join(sets, "node")
         .join(own, "node", "left")
-        .select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
+        .select("node", "n", (F.col("n") - unshared).alias("common"))
     )
     sized = stored(members.join(sizes, "node"), "sized")
     least = sized.groupBy("key").agg(F.min("n").alias("least"))
@@ -281,13 +292,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     shared = stored(keys.join(pivots, "key"), "shared")
     stars = shared.filter("node > a").select("a", F.col("node").alias("b")).distinct()
     # One doc_id with several texts links their classes.
-    same_id = (
-        usable.join(classes.select("set_a", "set_b", "node"), ["set_a", "set_b"])
-        .filter("node <> doc_id")
-        .select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
-        .join(classes.select(F.col("node").alias("b")).distinct(), "b", "left_semi")
-        .distinct()
+    repeated = usable.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    several = stored(
+        usable.join(repeated, "doc_id", "left_semi")
+        .join(classes.select("set_a", "set_b", "node"), ["set_a", "set_b"])
+        .select("doc_id", "node")
+        .distinct(),
+        "several",
     )
+    same_id = several.join(several.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id")
+    same_id = same_id.filter("node <> a").select("a", F.col("node").alias("b")).distinct()
     likely = stored(likely_pairs(stars, classes), "likely")
     links = confirmed_links(likely, documents).unionByName(same_id.select("a", "b"))
     links = stored(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "first")
@@ -339,9 +353,23 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     """The rows that ``near_duplicates`` keeps, with all their columns.
 
-    Of rows that repeat a doc_id one stays. Rows with a null doc_id stay.
+    Of rows that repeat a doc_id one stays, that of the least text (then the least
+    hash of all columns). Rows with a null doc_id stay. Only rows that a Bloom filter
+    takes for dropped or repeated move.
     """
-    ids = near_duplicates(documents).filter("kept and doc_id is not null")
-    kept = documents.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
-    kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(documents.filter("doc_id is null")).select(documents.columns)
+    found = near_duplicates(documents).filter("doc_id is not null")
+    ids = stored(
+        found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("n")).filter("not kept or n > 1"),
+        "dropped",
+    )
+    listed = ids.select("doc_id")
+    others = maybe_among(documents, listed, keep=False)
+    # A name that no column of the documents has.
+    fate = "_" * (1 + max(map(len, documents.columns))) + "fate"
+    fates = ids.select("doc_id", F.struct("kept", "n").alias(fate))
+    moved = maybe_among(documents, listed).join(fates, "doc_id", "left")
+    alone = moved.filter(F.col(fate).isNull()).select(documents.columns)
+    again = moved.filter(F.col(fate)["kept"] & (F.col(fate)["n"] > 1))
+    order = W.partitionBy("doc_id").orderBy("text", F.xxhash64(F.to_json(F.struct(*documents.columns))))
+    first = again.withColumn(fate, F.row_number().over(order)).filter(F.col(fate) == 1)
+    return others.unionByName(alone).unionByName(first.select(documents.columns))

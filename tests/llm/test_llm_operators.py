@@ -11,9 +11,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sortilex.llm import license_scan, mixing, pii, rule_ledger
+from sortilex.llm import id_filter, license_scan, mixing, pii, rule_ledger, toxicity
 from sortilex.llm.components import connected_components
 from sortilex.llm.decontaminate import contaminated, drop_contaminated
+from sortilex.llm.id_filter import maybe_among
 from sortilex.llm.near_dedup import drop_near_duplicates, near_duplicates
 from sortilex.llm.ppm import score_texts
 from sortilex.llm.quality_fm import fit_quality, score_quality
@@ -99,6 +100,31 @@ def test_near_duplicates_equal_brute_force(spark):
     assert all(r["kept"] == (r["component_id"] == i) for i, r in got.items())
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """A repeated id links its texts, and the row that stays does not depend on the order."""
+    a, b, c = (" ".join(words(seed, 60)) for seed in (21, 22, 23))
+    texts, ids = [b, a, a, b, c, a], [10, 10, 1, 2, 7, 1]
+    rows = near_duplicates(table(spark, texts, ids)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in rows} == {(10, 1), (1, 1), (2, 1), (7, 7)}
+    assert len(rows) == 6
+    own = [(5, b), (5, a), (5, c + " x"), (9, c), (9, c)]
+    for order in (own, own[::-1]):
+        kept = drop_near_duplicates(table(spark, [t for _, t in order], [i for i, _ in order]))
+        assert [(r["doc_id"], r["text"]) for r in kept.collect()] == [(5, min(a, b, c + " x"))]
+
+
+def test_id_filter_passes_all_listed_ids(spark, monkeypatch):
+    rows = spark.range(5_000).selectExpr("id - 2000 as doc_id", "'t' as text")
+    ids = rows.filter("doc_id % 50 = 0").select("doc_id")
+    listed = {r["doc_id"] for r in ids.collect()}
+    passed = {r["doc_id"] for r in maybe_among(rows, ids).collect()}
+    others = {r["doc_id"] for r in maybe_among(rows, ids, keep=False).collect()}
+    assert listed <= passed and len(passed) < 150 and not passed & others
+    assert len(passed | others) == 5_000
+    monkeypatch.setattr(id_filter, "MAX_BITS", 1 << 10)
+    assert listed <= {r["doc_id"] for r in maybe_among(rows, ids).collect()}
+
+
 def test_near_duplicates_odd_rows(spark, odd, none):
     rows = near_duplicates(odd).collect()
     assert len(rows) == 8
@@ -416,6 +442,63 @@ def test_classifiers_on_held_out_rows(spark, labelled, odd, none, name):
     assert score(odd, empty).filter("score is null or isnan(score)").count() == 0
 
 
+def plain_kneser_ney(words_by_class, word):
+    """Evidence of one word: dictionaries in place of arrays, from the definition."""
+    order, d = toxicity.ORDER, toxicity.DISCOUNT
+    counts = [collections.Counter(), collections.Counter()]
+    for c in (0, 1):
+        for w in words_by_class[c]:
+            padded = b"\x02" * (order - 1) + w + b"\x03"
+            for i in range(len(w) + 1):
+                counts[c][padded[i : i + order]] += 1
+    levels = {order: counts}
+    for k in range(order - 1, 0, -1):
+        before = [collections.defaultdict(set), collections.defaultdict(set)]
+        for c in (0, 1):
+            for gram in levels[k + 1][c]:
+                before[c][gram[1:]].add(gram[0])
+        levels[k] = [{g: len(v) for g, v in before[c].items()} for c in (0, 1)]
+
+    def p(gram, c):
+        k, floor = len(gram), 0.01 / 256
+        own = levels[k]
+        known = any(gram in own[x] for x in (0, 1))
+        if k == 1:
+            both = sum(own[x].get(gram, 0) for x in (0, 1)) / sum(sum(o.values()) for o in own)
+            below = both * 0.99 + floor if known else floor
+        else:
+            below = 0.5 * p(gram[1:], c) + 0.25 * (p(gram[1:], 0) + p(gram[1:], 1))
+        inside = [n for g, n in own[c].items() if g[:-1] == gram[:-1]]
+        total = sum(inside)
+        weight = d * len(inside) / total if total else 1.0
+        if k == 1 and not known:
+            return weight * below
+        return max(own[c].get(gram, 0) - d, 0) / max(total, 1) + weight * below
+
+    padded = b"\x02" * (order - 1) + word + b"\x03"
+    grams = [padded[i : i + order] for i in range(len(word) + 1)]
+    return sum(math.log(p(g, 1)) - math.log(p(g, 0)) for g in grams)
+
+
+def test_toxicity_evidence_equals_plain_kneser_ney():
+    rng = np.random.default_rng(8)
+    vocabulary = ["".join(rng.choice(list("abcdé"), rng.integers(1, 8))) for _ in range(60)]
+    sides = [[w.encode() for w in rng.choice(vocabulary, 150)] for _ in (0, 1)]
+    seen = collections.defaultdict(lambda: [0, 0])
+    for c, side in enumerate(sides):
+        for w in side:
+            data = np.frombuffer(w + b"\x03", np.uint8)
+            for gram in toxicity._grams(data, np.array([0, len(data)]), toxicity.ORDER):
+                seen[int(gram)][c] += 1
+    grams = np.array(sorted(seen), np.uint64)
+    model = toxicity.Backoff(grams, np.array([seen[int(g)] for g in grams]))
+    for word in [*vocabulary[:20], "zz", "abz", "é"]:
+        raw = word.encode()
+        data = np.frombuffer(raw + b"\x03", np.uint8)
+        got = model.evidence(data, np.array([0, len(data)]))[0]
+        assert got == pytest.approx(plain_kneser_ney(sides, raw), abs=1e-9), word
+
+
 def test_drop_toxic(spark, labelled, odd):
     docs, labels = labelled
     model = fit_toxicity(docs, labels)
