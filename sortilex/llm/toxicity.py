@@ -32,7 +32,6 @@ RUNS = (1, 2, 8)
 MAX_LABELLED = 24_000
 CALIBRATION_PARTS = 4
 THRESHOLD = 0.5
-_KEEP = 2
 
 _END = 0x03
 _U = np.uint64
@@ -234,7 +233,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, limit:
     place = F.pmod(F.xxhash64("doc_id", F.lit("labelled")), F.lit(1_000_000))
     known = known.filter(place < int(share * 1_000_000))
     texts = documents.filter("text is not null").select("doc_id", F.col("text").cast("string"))
-    return texts.join(known, "doc_id")
+    # The drawn ids are bounded by ``limit``, so no text moves to find them.
+    return texts.join(F.broadcast(known), "doc_id")
 
 
 class ToxicityModel:
@@ -255,10 +255,10 @@ class ToxicityModel:
 def fit_toxicity(documents: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> ToxicityModel:
     """Fit on a bounded sample of ``limit`` labelled rows.
 
-    Spark counts the grams of the sample; those that occur once are kept for
-    shared counts only where another class or part saw them too, so what reaches
-    the driver is bounded by the sample. Without labels of both classes every
-    score is the share of toxic labels, or 0 if there are none.
+    Spark counts the grams of the sample, and all of them enter the counts of the
+    shorter contexts; what reaches the driver is bounded by the sample. Without
+    labels of both classes every score is the share of toxic labels, or 0 if there
+    are none.
     """
     sample = labelled_sample(documents, labels, "toxic", limit)
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(CALIBRATION_PARTS)).cast("int")
@@ -274,7 +274,6 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, limit: int = MAX_LABEL
                 for c in (0, 1)
             )
         )
-        .filter(f"n00 + n10 + n01 + n11 >= {_KEEP}")
     )
     table = counts.toArrow()
     grams = table["gram"].to_numpy().view(np.uint64)
