@@ -41,19 +41,24 @@ from sortilex.operators import (  # noqa: E402
     truncate_documents,
 )
 from sortilex.plans import (  # noqa: E402
+    ModelVersions,
     attach_labels,
     count_examples,
     fit_and_evaluate,
+    ingest_documents,
     label_coverage,
     load_registered,
     prepare_examples,
+    read_promoted,
     score_table,
     score_to_endpoint,
     serve,
+    serve_promoted,
     train,
     with_text,
 )
 from sortilex.sources import (  # noqa: E402
+    DocumentStore,
     ingest_text_files,
     read_documents,
     read_metrics,
@@ -67,13 +72,17 @@ from sortilex.streaming import score_stream, stream_documents  # noqa: E402
 try:
     import corpus_pipeline
     from sortilex.llm.queries import llm_queries, llm_sql
-except ImportError:
+except ModuleNotFoundError as missing:
+    # Any other module that is missing is an error.
+    if missing.name != "corpus_pipeline" and not missing.name.startswith("sortilex.llm"):
+        raise
     corpus_pipeline = None
 
 SOURCES = tuple(f"src{i}" for i in range(9))
 LANGS = ("de", "en", "es", "fr")
 QUALITIES = ("low", "high", "unseen")
 WORD_LIMIT = 128
+STORE_BUCKETS = 16
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,26 +132,67 @@ def record_runs(spark, sf_dir):
     return read_metrics(spark, path)
 
 
-def write_raw_files(spark, sf_dir):
-    """Every document as a file of its own in its source's folder."""
-    folder = run_folder(spark, "raw_files")
+def write_raw_files(documents, folder):
+    """Every document as a file of its own in its source's folder, beside those there."""
     (
-        _documents(spark, sf_dir)
-        .select("text", "source")
+        documents.select("text", "source")
         # Creating files takes the time here, so all cores share it.
-        .repartition(spark.sparkContext.defaultParallelism)
-        .write.option("maxRecordsPerFile", 1)
+        .repartition(documents.sparkSession.sparkContext.defaultParallelism)
+        .write.mode("append")
+        .option("maxRecordsPerFile", 1)
         .partitionBy("source")
         .text(folder)
     )
-    return folder
 
 
 def ingest_files(spark, sf_dir):
-    folder = write_raw_files(spark, sf_dir)
+    folder = run_folder(spark, "raw_files")
+    write_raw_files(_documents(spark, sf_dir), folder)
     return ingest_text_files(spark, folder, path_glob="*.txt").select("folder", "content")
 
 
+def _ingested(spark, sf_dir, settings):
+    """All documents as files in the volume, taken into the store by two runs.
+
+    Files of odd ids arrive after the first run.
+    """
+    documents = _documents(spark, sf_dir)
+    for odd in (0, 1):
+        write_raw_files(documents.filter(F.col("doc_id") % 2 == odd), settings.volume_path)
+        stored = ingest_documents(spark, settings, "*.txt", buckets=STORE_BUCKETS)
+    return stored
+
+
+def ingest_volume_twice(spark, sf_dir):
+    stored = _ingested(spark, sf_dir, _settings(spark, SOURCES))
+    return stored.select("category", "text").withColumn("distinct_id", F.lit(True)).unionByName(
+        # Ids come from paths, so no two documents share one.
+        stored.groupBy("doc_id").agg(F.min("category").alias("category"), F.min("text").alias("text"), F.count("*").alias("n"))
+        .filter("n > 1")
+        .select("category", "text", F.lit(False).alias("distinct_id"))
+    )
+
+
+def train_from_volume(spark, sf_dir):
+    """From files to a trained model: what the training job counted on its way."""
+    settings = _settings(spark, tuple(f"source={name}" for name in SOURCES))
+    documents = _ingested(spark, sf_dir, settings)
+    # The counts do not depend on the fit, so its steps are few.
+    _, stored = train(documents, "category", settings, _params(spark, max_iter=3))
+    return stored.filter("category is null").select("metric", "value")
+
+
+def store_documents(spark, sf_dir):
+    """All documents, then every third one changed, then the same batch once more."""
+    documents = _documents(spark, sf_dir)
+    store = DocumentStore(spark, run_folder(spark, "documents"), buckets=STORE_BUCKETS)
+    store.put(documents)
+    changed = documents.filter("doc_id % 3 = 0").withColumn("text", F.concat(F.lit("changed "), "text"))
+    for _ in range(2):
+        store.put(changed)
+    return store.read()
+
+
 # --- row-local operators -----------------------------------------------------
 
 
@@ -270,13 +320,15 @@ def _params(spark, **changes):
 
 
 def _settings(spark, categories):
+    root = run_folder(spark, "project")
     return Settings(
         catalog_name="spark_catalog",
         schema_name="default",
         registered_model_name="text_classifier",
         run_id="run_1",
         endpoint_name="text_endpoint",
-        storage_root=run_folder(spark, "project"),
+        storage_root=root,
+        volume_root=f"{root}/volumes",
         categories=categories,
     )
 
@@ -519,6 +571,37 @@ def reloaded_model_scores(spark, sf_dir):
     return _same_scores(spark.read.parquet(before), score_batch(cut, after, LANGS))
 
 
+def score_promoted(spark, sf_dir):
+    """A stream that scores even ids with version 1 and, after a promotion, odd ones with 2.
+
+    One row per document: its version, and whether the batch scores of that version,
+    loaded by its number, are the same.
+    """
+    settings, documents = _settings(spark, LANGS), _documents(spark, sf_dir)
+    versions, endpoint = ModelVersions(spark, settings), settings.prod_serving_endpoint_name
+    examples = prepare_examples(documents, "lang", LANGS).filter("split = 'train'")
+    for bits in (8, 10):
+        # Any two models that differ will do.
+        params = _params(spark, num_features=1 << bits, max_iter=3)
+        versions.register(fit_classifier(examples, params, LANGS))
+    arriving = run_folder(spark, "arriving")
+    wanted = None
+    for odd in (0, 1):
+        half = documents.filter(F.col("doc_id") % 2 == odd)
+        half.write.mode("append").parquet(arriving)
+        versions.promote(endpoint, odd + 1)
+        stream = stream_documents(spark, arriving, documents.schema)
+        serve_promoted(stream, settings, endpoint).awaitTermination()
+        scored = score_table(half, load_registered(settings, odd + 1, spark), settings)
+        scored = scored.withColumn("model_version", F.lit(odd + 1))
+        wanted = scored if wanted is None else wanted.unionByName(scored)
+    got = read_promoted(spark, settings, endpoint)
+    columns = ("doc_id", "model_version", "prediction", "predicted_category", "confidence")
+    got, wanted = got.select(*columns), wanted.select(*columns)
+    same = _same_scores(got.drop("model_version"), wanted.drop("model_version"))
+    return got.select("doc_id", "model_version").join(same, "doc_id")
+
+
 def _score_embeddings(df):
     """A user's model: a class scores the greatest of the dimensions dealt to it in turn."""
 
@@ -562,6 +645,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "write_documents": write_and_read,
         "record_metrics": record_runs,
         "ingest_text_files": ingest_files,
+        "ingest_volume": ingest_volume_twice,
+        "document_store": store_documents,
         "category_domain": domain_coverage,
         "truncate_tokens": partial(truncate, unit="token"),
         "truncate_chars": partial(truncate, unit="char"),
@@ -585,12 +670,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fit_classifier_quality": fit_quality_checked,
         "train": train_language,
         "train_counts": train_counts,
+        "train_from_volume": train_from_volume,
         "score_batch": score_batch_checked,
         "score_batch_by_name": score_by_name,
         "score_batch_reloaded_model": reloaded_model_scores,
         "score_batch_udf": score_with_user_model,
         "score_stream": score_stream_checked,
         "score_stream_equals_batch": stream_equals_batch,
+        "score_stream_promoted": score_promoted,
         "score_stream_udf": stream_with_user_model,
     }
 
@@ -696,6 +783,14 @@ def oracle_sql() -> dict[str, str]:
         "record_metrics": f"{_run_sql('run_a', 2000)} union all {_run_sql('run_b', 1000)}",
         "ingest_text_files": "select 'source=' || source as folder, text || chr(10) as content "
         "from documents",
+        "ingest_volume": "select 'source=' || source as category, text || chr(10) as text, "
+        "true as distinct_id from documents",
+        "document_store": """
+            select doc_id, case when doc_id % 3 = 0 then 'changed ' || text else text end as text,
+                lang, source, n_chars
+            from documents""",
+        "score_stream_promoted": """
+            select doc_id, (doc_id % 2 + 1)::int as model_version, true as same from documents""",
         "category_domain": f"""
             select v.label::int as label, v.category, count(doc_id) as n_documents
             from (values {_SOURCE_ROWS}) v(label, category) left join documents on source = category
@@ -739,6 +834,11 @@ def oracle_sql() -> dict[str, str]:
             from documents join (values {_SOURCE_ROWS}) v(label, category) on source = category
             where len({_TOKENS}) > 0""",
         "count_examples": counts,
+        "train_from_volume": f"with c as ({counts}) "
+        + " union all ".join(
+            f"select '{name}' as metric, {name}::double as value from c"
+            for name in ("documents", "unknown_category", "no_text", "train", "test")
+        ),
         "train_counts": f"with c as ({counts}) "
         + " union all ".join(
             f"select '{name}' as metric, {name}::double as value from c"

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import load_classifier, score_batch, truncate_documents
 from ..settings import Settings
-from ..streaming import score_stream
+from ..streaming import score_promoted_stream, score_stream
+from .registry import ModelVersions
 
 
 def _cut(df: DataFrame, settings: Settings, text_col: str) -> DataFrame:
@@ -23,9 +24,13 @@ def score_table(
     return score_batch(_cut(documents, settings, text_col), model, settings.categories)
 
 
-def load_registered(settings: Settings) -> PipelineModel:
-    """The model that the run of ``settings`` saved under its registered name."""
-    return load_classifier(settings.model_path)
+def load_registered(
+    settings: Settings, version: int | None = None, spark: SparkSession | None = None
+) -> PipelineModel:
+    """A model under the registered name: a ``version``, or that of the run of ``settings``."""
+    if version is None:
+        return load_classifier(settings.model_path)
+    return ModelVersions(spark or SparkSession.active(), settings).load(version)
 
 
 def score_to_endpoint(
@@ -67,3 +72,37 @@ def serve(
         name=endpoint,
         trigger=trigger,
     )
+
+
+def serve_promoted(
+    arriving: DataFrame,
+    settings: Settings,
+    endpoint: str,
+    text_col: str = "text",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Score arriving documents with the version that is promoted to ``endpoint``.
+
+    ``ModelVersions.promote`` takes effect with the next batch, without a restart.
+    Read the scores with ``read_promoted``.
+    """
+    versions = ModelVersions(arriving.sparkSession, settings)
+
+    def scorer(version: int):
+        model = versions.load(version)
+        return lambda batch: score_batch(batch, model, settings.categories)
+
+    return score_promoted_stream(
+        _cut(arriving, settings, text_col),
+        lambda: versions.promoted(endpoint),
+        scorer,
+        settings.promoted_scores_path(endpoint),
+        settings.checkpoint_path(f"promoted-{endpoint}"),
+        name=endpoint,
+        trigger=trigger,
+    )
+
+
+def read_promoted(spark: SparkSession, settings: Settings, endpoint: str) -> DataFrame:
+    """The scores that ``serve_promoted`` wrote, with ``model_version`` and ``batch``."""
+    return spark.read.parquet(settings.promoted_scores_path(endpoint))

@@ -122,6 +122,21 @@ class Settings:
             )
         )
 
+    @property
+    def versions_path(self) -> str:
+        """Folder of the versions saved under the registered name, by all runs."""
+        return "/".join((self.storage_root, "registered", self.registered_model_full_path))
+
+    @property
+    def documents_path(self) -> str:
+        """Folder of the documents that came from the volume."""
+        return "/".join((self.storage_root, "documents", self.table_name_full_path))
+
+    @property
+    def ingest_checkpoint_path(self) -> str:
+        """Folder where the ingest of the volume keeps its progress."""
+        return "/".join((self.storage_root, "checkpoints", self.volume_name))
+
     @property
     def examples_path(self) -> str:
         """Folder of this run's prepared examples."""
@@ -140,6 +155,10 @@ class Settings:
         """Folder of the scores of whole tables under the name ``endpoint``."""
         return "/".join((self.storage_root, "batch_scores", endpoint))
 
+    def promoted_scores_path(self, endpoint: str) -> str:
+        """Folder of the scores of the promoted versions, a folder per batch."""
+        return "/".join((self.storage_root, "promoted_scores", endpoint))
+
     def checkpoint_path(self, endpoint: str) -> str:
         """Folder where the scoring query named ``endpoint`` keeps its progress."""
         return "/".join((self.storage_root, "checkpoints", endpoint))

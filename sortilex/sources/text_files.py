@@ -6,6 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _columns(files: DataFrame) -> DataFrame:
+    # The file path is URI-encoded; a plus sign in it stands for itself.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return files.select(
+        path.alias("path"),
+        F.element_at(F.split(path, "/"), -2).alias("folder"),
+        F.make_valid_utf8("value").alias("content"),
+    )
+
+
 def ingest_text_files(
     spark: SparkSession, volume_path: str, path_glob: str | None = None
 ) -> DataFrame:
@@ -13,17 +23,56 @@ def ingest_text_files(
 
     ``folder`` is the name of the file's own folder. ``path_glob`` filters file
     names. Bytes that are no UTF-8 become U+FFFD. Each file is one row, so each
-    must fit into a task; the number of files is not bounded, small ones are
-    packed into shared tasks. As in every Spark file source, a file of zero
-    bytes, or one whose name starts with a dot or underscore, gives no row.
+    must fit into a task; small ones are packed into shared tasks. The driver
+    lists the folder and holds a path and a size per file: for folders of very many
+    files use ``stream_text_files``, whose runs take a part each. As in every
+    Spark file source, a file of zero bytes, or one whose name starts with a dot or
+    underscore, gives no row.
     """
     files = spark.read.text(
         volume_path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=path_glob
     )
-    # The file path is URI-encoded; a plus sign in it stands for itself.
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return _columns(files)
+
+
+def stream_text_files(
+    spark: SparkSession,
+    volume_path: str,
+    path_glob: str | None = None,
+    max_files_per_trigger: int | None = None,
+    archive_path: str | None = None,
+) -> DataFrame:
+    """The rows of ``ingest_text_files`` as a stream: each file once, as it arrives.
+
+    A file is known by its path; one that changes later is not read anew. The
+    checkpoint of the query keeps the paths taken, and the driver holds them while
+    it runs. ``max_files_per_trigger`` bounds one batch. With ``archive_path``
+    files move there after their batch, so that later listings of the folder see
+    new files alone; it must lie outside the folder.
+    """
+    reader = spark.readStream
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_path is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_path)
+    files = reader.text(
+        volume_path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=path_glob
+    )
+    return _columns(files)
+
+
+def as_documents(files: DataFrame, volume_path: str) -> DataFrame:
+    """Rows ``(doc_id, category, text)`` of files: the folder's name is the category.
+
+    ``doc_id`` is the SHA-256 of the path below ``volume_path``, so a volume that is
+    copied elsewhere gives the same ids. A file of the volume's own folder has the
+    category of that folder's name.
+    """
+    # Only what follows the volume's path counts, whatever the scheme before it.
+    root = volume_path.rpartition(":")[2].strip("/")
+    below = F.substring_index("path", f"/{root}/", -1)
     return files.select(
-        path.alias("path"),
-        F.element_at(F.split(path, "/"), -2).alias("folder"),
-        F.make_valid_utf8("value").alias("content"),
+        F.sha2(below, 256).alias("doc_id"),
+        F.col("folder").alias("category"),
+        F.col("content").alias("text"),
     )
