@@ -37,6 +37,7 @@ from sortilex.operators import (  # noqa: E402
     reject_unknown_category,
     score_batch,
     score_batch_udf,
+    score_texts_by_length,
     split_examples,
     truncate_documents,
 )
@@ -623,6 +624,22 @@ def score_with_user_model(spark, sf_dir):
     return _score_embeddings(vectors)
 
 
+def _length_model():
+    """A text model of the caller's: a class scores how far the length is from its own."""
+
+    def predict(texts):
+        lengths = np.array([len(t) for t in texts])[:, None]
+        return -((lengths - np.arange(len(SOURCES)) * 100) ** 2).astype("float64")
+
+    return predict
+
+
+def score_by_length(spark, sf_dir):
+    cut = truncate_documents(_documents(spark, sf_dir), 1000, "char")
+    scored = score_texts_by_length(cut.select("doc_id", "truncated_text"), _length_model, categories=SOURCES)
+    return scored.drop("truncated_text")
+
+
 def stream_with_user_model(spark, sf_dir):
     arriving = _arriving(spark, sf_dir, "embeddings")
     out, checkpoint = run_folder(spark, "scores"), run_folder(spark, "progress")
@@ -675,6 +692,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_batch_by_name": score_by_name,
         "score_batch_reloaded_model": reloaded_model_scores,
         "score_batch_udf": score_with_user_model,
+        "score_texts_by_length": score_by_length,
         "score_stream": score_stream_checked,
         "score_stream_equals_batch": stream_equals_batch,
         "score_stream_promoted": score_promoted,
@@ -762,6 +780,8 @@ def oracle_sql() -> dict[str, str]:
             count(*) filter (where known and has_text and split = 'train') as train,
             count(*) filter (where known and has_text and split = 'test') as test
         from t"""
+    no_row_left_out = """
+        union all select 'unscored', 0.0::double union all select 'out_of_domain', 0.0::double"""
     user_model = f"""
         with x as (
             select vec_id, unnest(embedding) as value, unnest(range(64)) % 9 as k from embeddings
@@ -838,12 +858,14 @@ def oracle_sql() -> dict[str, str]:
         + " union all ".join(
             f"select '{name}' as metric, {name}::double as value from c"
             for name in ("documents", "unknown_category", "no_text", "train", "test")
-        ),
+        )
+        + no_row_left_out,
         "train_counts": f"with c as ({counts}) "
         + " union all ".join(
             f"select '{name}' as metric, {name}::double as value from c"
             for name in ("documents", "unknown_category", "no_text", "train", "test")
-        ),
+        )
+        + no_row_left_out,
         "labelled_examples": f"""
             select doc_id, {_FIRST_TOKENS} as truncated_text, quality, toxic
             from documents join labels using (doc_id)""",
@@ -889,6 +911,8 @@ def oracle_sql() -> dict[str, str]:
                 union all select null, metric, n::double
                 from (unpivot c on documents, unknown_category, no_text, train, test
                     into name metric value n)
+                union all select null, metric, 0.0::double
+                from (values ('unscored'), ('out_of_domain')) m(metric)
             )
             select category, metric, value, 'run_1' as run_id, true as in_range from r""",
         "label_coverage": """
@@ -905,4 +929,16 @@ def oracle_sql() -> dict[str, str]:
         "score_batch_udf": user_model,
         "score_stream_equals_batch": same_documents,
         "score_stream_udf": user_model,
+        "score_texts_by_length": """
+            with l as (
+                select doc_id, length(substring(text, 1, 1000)) as n from documents where text <> ''
+            ), s as (
+                select doc_id, k, -((n - 100 * k) * (n - 100 * k))::double as score
+                from l, range(9) r(k)
+            ), b as (
+                select doc_id, max(score) as best from s group by doc_id
+            )
+            select b.doc_id, min(s.k)::int as prediction, 'src' || min(s.k) as predicted_category,
+                b.best as confidence
+            from b join s on b.doc_id = s.doc_id and s.score = b.best group by b.doc_id, b.best""",
     }

@@ -5,7 +5,6 @@ from __future__ import annotations
 import warnings
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, SQLTransformer
@@ -14,10 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..settings import CATEGORY_LIST, UNITS, check_categories
-from ..storage import run_folder
+from ..storage import remove_folder, run_folder
 
 TEXT_COL = "truncated_text"
-WORK_COLS = ("terms", "term_counts", "features", "rawPrediction", "probability")
+COUNTS_COL = "term_counts"
+WORK_COLS = ("terms", COUNTS_COL, "features", "rawPrediction", "probability")
 
 # Null text has no terms. Characters overlap in pairs, since single characters
 # say little in unspaced text.
@@ -43,8 +43,8 @@ class ClassifierParams:
 
     ``partitions`` is the most tasks a solver step may have. Each sends a
     gradient, so a few per core are right, where the scan of a large table has
-    very many. A plan that stores examples for the fit spreads them over as many
-    tasks. None leaves the rows as the scan splits them.
+    very many; neighbouring splits of the scan share a task, without a shuffle.
+    None leaves the rows as the scan splits them.
     """
 
     unit: str = "token"
@@ -70,6 +70,22 @@ def _with_domain(train: DataFrame, label_col: str, names: tuple[str, ...]) -> Da
     return train.withColumn(label_col, F.col(label_col).cast("double").alias(label_col, metadata=about))
 
 
+def _term_stages(params: ClassifierParams) -> tuple[SQLTransformer, HashingTF]:
+    terms = SQLTransformer(statement=f"SELECT *, {_TERMS_SQL[params.unit]} AS terms FROM __THIS__")
+    hashing = HashingTF(inputCol="terms", outputCol=COUNTS_COL, numFeatures=params.num_features)
+    return terms, hashing
+
+
+def count_terms(df: DataFrame, params: ClassifierParams = ClassifierParams()) -> DataFrame:
+    """Add ``term_counts``, the hashed terms of ``truncated_text``; local to each row.
+
+    Hashing costs more than any other step before the solver, whose fit takes three
+    passes: store the result and fit from that.
+    """
+    terms, hashing = _term_stages(params)
+    return hashing.transform(terms.transform(df)).drop("terms")
+
+
 def fit_unsaved(
     train: DataFrame,
     params: ClassifierParams = ClassifierParams(),
@@ -78,17 +94,22 @@ def fit_unsaved(
 ) -> PipelineModel:
     """Fit hashed term counts, IDF and logistic regression on ``truncated_text``.
 
-    Rows without a label are not used. The rows are read once and kept as term
-    counts, in memory or on disk, until the fit is done. The model still holds
-    its training summary; ``fit_classifier`` gives one that is fit for scoring.
+    Rows without a label are not used. Rows that have ``term_counts`` (see
+    ``count_terms``, with the same ``params``) are used as they are; of others the
+    counts are written to a shared folder for the time of the fit, so that a lost
+    executor repeats a scan and not the hashing. The model still holds its training
+    summary; ``fit_classifier`` gives one that is fit for scoring.
     """
-    names = check_categories(categories)
-    labelled = train.filter(F.col(label_col).isNotNull()).select(label_col, TEXT_COL)
+    names, work, spark = check_categories(categories), None, train.sparkSession
+    labelled = train.filter(F.col(label_col).isNotNull())
+    if COUNTS_COL not in train.columns:
+        work = run_folder(spark, "term-counts")
+        counted = count_terms(labelled.select(label_col, TEXT_COL), params)
+        counted.select(label_col, COUNTS_COL).write.parquet(work)
+        labelled = spark.read.parquet(work)
     if params.partitions is not None:
         labelled = labelled.coalesce(params.partitions)
-    terms = SQLTransformer(statement=f"SELECT *, {_TERMS_SQL[params.unit]} AS terms FROM __THIS__")
-    hashing = HashingTF(inputCol="terms", outputCol="term_counts", numFeatures=params.num_features)
-    idf = IDF(inputCol="term_counts", outputCol="features", minDocFreq=params.min_doc_freq)
+    idf = IDF(inputCol=COUNTS_COL, outputCol="features", minDocFreq=params.min_doc_freq)
     solver = LogisticRegression(
         featuresCol="features",
         labelCol=label_col,
@@ -98,15 +119,13 @@ def fit_unsaved(
         elasticNetParam=params.elastic_net,
         aggregationDepth=params.aggregation_depth,
     )
-    # Hashing costs more than any other step before the solver, and the fits
-    # below take three passes. What does not fit in memory goes to disk.
-    counts = hashing.transform(terms.transform(_with_domain(labelled, label_col, names)))
-    counts = counts.select(label_col, "term_counts").persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        counts = _with_domain(labelled.select(label_col, COUNTS_COL), label_col, names)
         fitted = Pipeline(stages=[idf, solver]).fit(counts)
     finally:
-        counts.unpersist()
-    model = PipelineModel([terms, hashing, *fitted.stages])
+        if work is not None:
+            remove_folder(spark, work)
+    model = PipelineModel([*_term_stages(params), *fitted.stages])
     if isinstance(model.stages[-1].coefficientMatrix, SparseMatrix):
         warnings.warn("most hashed features are unused: lower num_features to score faster")
     if fitted.stages[-1].summary.totalIterations >= params.max_iter:

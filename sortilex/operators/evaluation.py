@@ -35,9 +35,38 @@ def class_metrics(
     A class never predicted has null precision, one without examples null
     recall, one with neither null F1. A prediction on a row whose label is null
     or outside the domain counts against its class's precision. Works from the
-    confusion matrix, so the scored rows are read once and none is duplicated.
+    confusion matrix, so the scored rows are read once and none is duplicated;
+    ``matrix_counts`` says how many rows no class counts.
+    """
+    return matrix_metrics(confusion_matrix(scored, label_col, prediction_col), categories)
+
+
+def matrix_counts(matrix: DataFrame, categories=CATEGORY_LIST) -> DataFrame:
+    """One row: ``evaluated`` rows, those ``unscored``, and those ``out_of_domain``.
+
+    Unscored: the prediction is null. Out of the domain: the label is null or no
+    class id, or the prediction is one that no class has. A row can be both.
     """
     names = check_categories(categories)
+
+    def known(column):
+        return F.coalesce(F.col(column).between(0, len(names) - 1), F.lit(False))
+
+    foreign = ~known("label") | (F.col("prediction").isNotNull() & ~known("prediction"))
+
+    def total(test):
+        return F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
+
+    return matrix.agg(
+        total(F.lit(True)).alias("evaluated"),
+        total(F.col("prediction").isNull()).alias("unscored"),
+        total(foreign).alias("out_of_domain"),
+    )
+
+
+def matrix_metrics(matrix: DataFrame, categories=CATEGORY_LIST) -> DataFrame:
+    """The class metrics of a confusion matrix ``(label, prediction, n)``."""
+    names = check_categories(categories)
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(F.lit(0))
     none = F.lit(0).cast("bigint")
     as_label = F.struct(
@@ -52,11 +81,9 @@ def class_metrics(
         F.col("n").alias("predicted"),
         none.alias("true_positive"),
     )
-    sides = confusion_matrix(scored, label_col, prediction_col).select(
-        F.inline(F.array(as_label, as_prediction))
-    )
+    sides = matrix.select(F.inline(F.array(as_label, as_prediction)))
     # A zero row per class keeps every class without a join.
-    zeros = category_domain(scored.sparkSession, names).select(
+    zeros = category_domain(matrix.sparkSession, names).select(
         "label",
         none.alias("support"),
         none.alias("predicted"),

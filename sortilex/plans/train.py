@@ -3,39 +3,60 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators import ClassifierParams, class_metrics, fit_classifier, long_metrics, score_batch
+from ..operators import (
+    ClassifierParams,
+    class_metrics,
+    confusion_matrix,
+    count_terms,
+    fit_classifier,
+    long_metrics,
+    matrix_counts,
+    matrix_metrics,
+    score_batch,
+)
+from ..operators.classifier import COUNTS_COL
 from ..settings import Settings
 from ..sources import read_metrics, record_metrics
 from .examples import intake_counts, no_text_count, prepare_examples, split_counts
 
 
-def fit_and_evaluate(
+def fit_and_score(
     examples: DataFrame,
     examples_path: str,
     params: ClassifierParams,
     categories,
     model_path: str | None = None,
 ) -> tuple[PipelineModel, DataFrame]:
-    """The model fitted on the train rows, and its metrics on the test rows.
+    """The model fitted on the train rows, and the scored test rows.
 
-    The examples are written once, by split: the fit then reads only train files
-    and the evaluation only test files, and a lost executor repeats a scan in
-    place of the preparation. Where
-    ``params.partitions`` spreads them, they go round-robin and not by a key, so
-    copies of one text do not pile up in a task.
+    The examples are written once, by split and with their hashed terms, where the
+    scan has them: the fit then reads the hashed terms of train files alone and the
+    evaluation only test files, nothing is shuffled or cached, and a lost executor
+    repeats a scan in place of the preparation.
     """
     spark = examples.sparkSession
-    if params.partitions is not None:
-        examples = examples.repartition(params.partitions)
-    examples.write.mode("overwrite").partitionBy("split").parquet(examples_path)
+    counted = count_terms(examples, params)
+    counted.write.mode("overwrite").partitionBy("split").parquet(examples_path)
     stored = spark.read.parquet(examples_path)
     model = fit_classifier(
         stored.filter(F.col("split") == "train"), params, categories, path=model_path
     )
-    scored = score_batch(stored.filter(F.col("split") == "test"), model, categories)
+    test = stored.filter(F.col("split") == "test").drop(COUNTS_COL)
+    return model, score_batch(test, model, categories)
+
+
+def fit_and_evaluate(
+    examples: DataFrame,
+    examples_path: str,
+    params: ClassifierParams,
+    categories,
+    model_path: str | None = None,
+) -> tuple[PipelineModel, DataFrame]:
+    """The model of ``fit_and_score``, and its metrics on the test rows."""
+    model, scored = fit_and_score(examples, examples_path, params, categories, model_path)
     return model, class_metrics(scored, categories)
 
 
@@ -51,14 +72,21 @@ def train(
 
     Returns the model and this run's stored rows ``(category, metric, value,
     run_id)``. Rows without a category count documents: all, those set aside by
-    reason, train and test.
+    reason, train and test; and test rows that the model left unscored or whose
+    label or prediction no class of the domain has. The documents are read once: they
+    are counted as the examples are written.
     """
     spark = documents.sparkSession
     params = params or ClassifierParams(unit=settings.unit)
     if params.unit != settings.unit:
         raise ValueError(f"the text is cut by {settings.unit}, the model reads {params.unit}s")
+    intake_aggregates = (
+        *intake_counts(category_col, settings.categories),
+        no_text_count(category_col, settings.categories, text_col, settings.unit),
+    )
+    intake, kept = Observation("intake"), Observation("kept")
     examples = prepare_examples(
-        documents,
+        documents.observe(intake, *intake_aggregates),
         category_col,
         settings.categories,
         id_col,
@@ -66,39 +94,37 @@ def train(
         settings.max_length,
         settings.unit,
         settings.split_threshold,
-    )
-    model, metrics = fit_and_evaluate(
+    ).observe(kept, *split_counts())
+    model, scored = fit_and_score(
         examples,
         settings.examples_path,
         params,
         settings.categories,
         settings.model_path,
     )
-    counts = _counts(
-        documents.agg(
-            *intake_counts(category_col, settings.categories),
-            no_text_count(category_col, settings.categories, text_col, settings.unit),
-        ),
-        spark.read.parquet(settings.examples_path).agg(*split_counts()),
-    )
-    record_metrics(
-        long_metrics(metrics).unionByName(counts), settings.run_id, settings.metrics_path
-    )
-    stored = read_metrics(spark, settings.metrics_path)
-    return model, stored.filter(F.col("run_id") == settings.run_id)
-
+    counts = {**intake.get, **kept.get}
+    if not _adds_up(counts):
+        # Tasks that ran again may have been counted twice; a scan of its own is exact.
+        stored = spark.read.parquet(settings.examples_path)
+        counts = {
+            **documents.agg(*intake_aggregates).first().asDict(),
+            **stored.agg(*split_counts()).first().asDict(),
+        }
+    if not _adds_up(counts):
+        raise RuntimeError(f"rows were lost, or the table changed between the passes: {counts}")
+    # One row per pair of classes, so the test rows are scored once for all that follows.
+    matrix = confusion_matrix(scored)
+    matrix = spark.createDataFrame(matrix.collect(), matrix.schema)
+    left_out = matrix_counts(matrix, settings.categories).first().asDict()
+    if left_out.pop("evaluated") != counts["test"]:
+        raise RuntimeError(f"{counts['test']} test rows were stored, but not as many were scored")
+    rows = [(None, name, float(count)) for name, count in {**counts, **left_out}.items()]
+    rows = spark.createDataFrame(rows, "category string, metric string, value double")
+    metrics = long_metrics(matrix_metrics(matrix, settings.categories))
+    record_metrics(metrics.unionByName(rows), settings.run_id, settings.metrics_path)
+    results = read_metrics(spark, settings.metrics_path)
+    return model, results.filter(F.col("run_id") == settings.run_id)
 
-def _counts(intake: DataFrame, kept: DataFrame) -> DataFrame:
-    """Two rows of counts as metrics of the run.
 
-    Each is counted by itself. If the parts do not add up, rows were lost or the
-    table changed between the passes, and the job fails.
-    """
-    n = {**intake.first().asDict(), **kept.first().asDict()}
-    parts = sum(n[name] for name in ("unknown_category", "no_text", "train", "test"))
-    if parts != n["documents"]:
-        raise RuntimeError(f"{n['documents']} documents, but {parts} are accounted for: {n}")
-    return intake.sparkSession.createDataFrame(
-        [(None, name, float(count)) for name, count in n.items()],
-        "category string, metric string, value double",
-    )
+def _adds_up(n: dict) -> bool:
+    return sum(n[name] for name in ("unknown_category", "no_text", "train", "test")) == n["documents"]

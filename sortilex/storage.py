@@ -24,3 +24,9 @@ def shared_folder(spark: SparkSession, *parts: str) -> str:
 def run_folder(spark: SparkSession, name: str) -> str:
     """A shared path that no earlier call returned."""
     return shared_folder(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what it holds, if it is there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,3 +1,6 @@
+import random
+
+import numpy as np
 import pytest
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import Observation
@@ -11,6 +14,7 @@ from sortilex.operators import (
     load_classifier,
     score_batch,
     score_batch_udf,
+    score_texts_by_length,
     truncate_documents,
 )
 
@@ -173,3 +177,34 @@ def test_user_model(spark):
         (2, "ab", 0, "x", 2.0),
         (3, "abc", 1, "y", 3.0),
     ]
+
+
+def test_texts_by_length_score_as_the_udf_does_and_pad_less(spark, tmp_path):
+    rng = random.Random(2)
+    texts = ["x" * rng.choice([1, 3, 50, 400]) + str(i) for i in range(900)] + [None, "", "é" * 7]
+    rows = [(i, t, "kept") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id int, truncated_text string, more string").repartition(2)
+    padded = spark.sparkContext.accumulator(0)
+
+    def make():
+        def predict(texts):
+            lengths = np.array([len(t) for t in texts])
+            padded.add(int((lengths.max() - lengths).sum()))
+            return np.stack([lengths, 100 - lengths], axis=1).astype(float)
+
+        return predict
+
+    names = ("long", "short")
+    by_length = score_texts_by_length(df, make, categories=names, batch_size=32)
+    sorted_rows = sorted(map(tuple, by_length.collect()))
+    less, start = padded.value, padded.value
+    plain = score_batch_udf(df, make, ["truncated_text"], names, batch_size=32)
+    scorable = sorted(tuple(r) for r in plain.filter("truncated_text <> ''").collect())
+    more = padded.value - start
+    assert [r for r in sorted_rows if r[1]] == scorable
+    assert [r[3:] for r in sorted_rows if not r[1]] == [(None, None, None)] * 2
+    assert less * 5 < more
+    small = score_texts_by_length(df, make, categories=names, batch_size=7, buffer_rows=10)
+    assert sorted(map(tuple, small.collect())) == sorted_rows
+    with pytest.raises(Exception, match="more scores than"):
+        score_texts_by_length(df, make, categories=("one",)).collect()

@@ -10,8 +10,11 @@ from sortilex.operators import (
     ClassifierParams,
     class_metrics,
     confusion_matrix,
+    count_terms,
     encode_category,
+    fit_classifier,
     load_classifier,
+    matrix_counts,
     reject_unknown_category,
     score_batch,
     split_examples,
@@ -81,6 +84,7 @@ def test_train_score_and_serve(spark, stored_docs, tmp_path):
     model, metrics = train(stored_docs, "lang", settings, params)
     assert metrics.filter("category is not null").count() == 24
     counts = {r.metric: r.value for r in metrics.filter("category is null").collect()}
+    assert (counts.pop("unscored"), counts.pop("out_of_domain")) == (0, 0)
     assert counts == count_examples(stored_docs, "lang", langs).first().asDict()
     assert counts["documents"] == stored_docs.count()
     assert {r.run_id for r in metrics.collect()} == {"run1"}
@@ -106,7 +110,7 @@ def test_train_score_and_serve(spark, stored_docs, tmp_path):
 
 @pytest.mark.parametrize("partitions", [None, 3])
 def test_partitions_bound_the_tasks_of_the_fit(spark, stored_docs, tmp_path, partitions):
-    """A hot text is spread like any other row, and the result does not change."""
+    """The examples stay where the scan has them, and the result does not change."""
     copies = stored_docs.select("doc_id", F.lit("the same text").alias("truncated_text"), "lang")
     examples = encode_category(copies, "lang", ("de", "en", "es", "fr")).drop("lang")
     examples = split_examples(examples, "doc_id").repartition(5)
@@ -117,11 +121,62 @@ def test_partitions_bound_the_tasks_of_the_fit(spark, stored_docs, tmp_path, par
         examples.filter("split = 'test'").count(),
     ) * 2
     sizes = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
-    assert len(sizes) == 2 * (partitions or 5)
+    assert len(sizes) == 2 * 5
     with pytest.raises(ValueError):
         ClassifierParams(partitions=0)
 
 
+def test_stored_counts_give_the_same_model(spark, stored_docs, tmp_path):
+    """Hashed terms read back from files fit the model that the texts fit."""
+    langs = ("de", "en", "es", "fr")
+    examples = prepare_examples(stored_docs, "lang", langs)
+    params = ClassifierParams(num_features=256, max_iter=5)
+    count_terms(examples, params).coalesce(1).write.parquet(str(tmp_path / "c"))
+    examples.coalesce(1).write.parquet(str(tmp_path / "t"))
+    models = [fit_classifier(spark.read.parquet(str(tmp_path / x)), params, langs) for x in "ct"]
+    weights = [m.stages[-1].coefficientMatrix.toArray() for m in models]
+    assert abs(weights[0] - weights[1]).max() < 1e-9
+
+
+def test_preparing_examples_neither_shuffles_nor_caches(spark, stored_docs, plan):
+    prepared = count_terms(prepare_examples(stored_docs, "source", ("src0", "src1")))
+    assert exchanges(plan(prepared)) == ["BroadcastExchange"]
+    fit_classifier(prepare_examples(stored_docs, "lang", ("de", "en", "es", "fr")), ClassifierParams(max_iter=1))
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_train_reads_the_documents_once(spark, tmp_path, monkeypatch):
+    """The counts come from the job that writes the examples, and rows left out are counted."""
+    schema = "doc_id long, text string, category string"
+    rows = [(i, f"red w{i}" if i % 2 else f"blue w{i}", "ab"[i % 2]) for i in range(60)]
+    rows += [(100, None, "a"), (101, "  ", "b"), (102, "some", "zzz"), (103, "some", None)]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "d"))
+    reads = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    documents = spark.read.parquet(str(tmp_path / "d"))
+    documents = documents.mapInArrow(counting, documents.schema)
+    settings = Settings("c", "s", "m", "r", "e", str(tmp_path / "p"), categories=("a", "b"))
+    _, stored = train(documents, "category", settings, ClassifierParams(num_features=32, max_iter=3))
+    counts = {r.metric: r.value for r in stored.filter("category is null").collect()}
+    assert reads.value == len(rows) == counts["documents"]
+    assert (counts["no_text"], counts["unknown_category"]) == (2, 2)
+    assert (counts["unscored"], counts["out_of_domain"]) == (0, 0)
+    assert counts["train"] + counts["test"] == 60
+
+
+def test_rows_that_no_class_counts(spark):
+    pairs = [(0, 0), (0, None), (None, 1), (5, 1), (1, 7), (None, None), (1, 1)]
+    matrix = confusion_matrix(spark.createDataFrame(pairs, "label int, prediction int"))
+    assert matrix_counts(matrix, NAMES).first() == (7, 2, 4)
+    empty = confusion_matrix(spark.createDataFrame([], "label int, prediction int"))
+    assert matrix_counts(empty, NAMES).first() == (0, 0, 0)
+
+
 # --- physical plans ----------------------------------------------------------
 
 
