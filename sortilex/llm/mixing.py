@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import free_name
+
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
 MAX_REPEATS = 2
@@ -27,6 +29,9 @@ def word_count(text: Column) -> Column:
     return F.when(even != "", spaces + 1).otherwise(0).cast("long")
 
 
+PLAN = ("size", "source_size", "target", "copies")
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, percent: int = SHARE_PERCENT) -> DataFrame:
     """Rows ``(source, source_size, target)`` from rows ``(source, source_size)``.
 
@@ -73,6 +78,24 @@ def draw(doc_id: Column, seed: str) -> Column:
     return number / float(16**_DRAW_DIGITS)
 
 
+def _planned(documents: DataFrame, names: dict[str, str], seed: str, weights) -> DataFrame:
+    """``documents`` with the plan's columns under the given ``names``, which it has not."""
+    size, source_size, target, copies = (names[n] for n in PLAN)
+    given = free_name(documents, "mix_source")
+    sized = documents.withColumn(size, word_count(F.col("text").cast("string")))
+    sizes = sized.groupBy("source").agg(F.sum(size).alias("source_size"))
+    targets = source_targets(sizes, weights).select(
+        F.col("source").alias(given),
+        F.col("source_size").alias(source_size),
+        F.col("target").alias(target),
+    )
+    joined = sized.join(targets, F.col("source").eqNullSafe(F.col(given)), "left").drop(given)
+    rate = F.col(target) / F.when(F.col(source_size) > 0, F.col(source_size))
+    rate = F.coalesce(rate, F.lit(0.0))
+    extra = draw(F.col("doc_id"), seed) < rate - F.floor(rate)
+    return joined.withColumn(copies, (F.floor(rate) + extra.cast("long")).cast("long"))
+
+
 def plan_mix(documents: DataFrame, seed: str = "mix", weights=WEIGHTS) -> DataFrame:
     """``documents`` with ``size``, ``source_size``, ``target`` and ``copies``.
 
@@ -85,22 +108,17 @@ def plan_mix(documents: DataFrame, seed: str = "mix", weights=WEIGHTS) -> DataFr
     An empty table gives no rows. Sizes are summed per source before the
     shuffle; the table of sources, one row each, joins back by Spark's choice.
     """
-    sized = documents.withColumn("size", word_count(F.col("text").cast("string")))
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sizes, weights).withColumnRenamed("source", "__source")
-    sized = sized.drop("source_size", "target", "copies")
-    joined = sized.join(targets, F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source")
-    rate = F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size"))
-    rate = F.coalesce(rate, F.lit(0.0))
-    extra = draw(F.col("doc_id"), seed) < rate - F.floor(rate)
-    return joined.withColumn("copies", (F.floor(rate) + extra.cast("long")).cast("long"))
+    return _planned(documents.drop(*PLAN), {n: n for n in PLAN}, seed, weights)
 
 
 def mix_sources(documents: DataFrame, seed: str = "mix", weights=WEIGHTS) -> DataFrame:
     """The mix itself: each document as often as ``plan_mix`` takes it.
 
-    ``copy`` counts a document's repeats from 0.
+    ``copy`` counts a document's repeats from 0; a column of that name is replaced,
+    all others come back as they are.
     """
-    planned = plan_mix(documents, seed, weights).filter("copies > 0")
-    repeats = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
-    return planned.select(*documents.columns, repeats.alias("copy"))
+    given = documents.drop("copy")
+    names = {n: free_name(given, f"mix_{n}") for n in PLAN}
+    planned = _planned(given, names, seed, weights).filter(F.col(names["copies"]) > 0)
+    repeats = F.explode(F.sequence(F.lit(0).cast("long"), F.col(names["copies"]) - 1))
+    return planned.select(*(f"`{c}`" for c in given.columns), repeats.alias("copy"))

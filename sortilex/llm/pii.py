@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import free_name
+
 ROUNDS = 8
 
 # Java patterns. No alternative can start inside a word, so none is tried twice
@@ -36,9 +38,12 @@ _PATTERNS = {
 }
 # Values that a run of numbers must not reach into: those with other signs in them.
 _OTHER_SIGNS = (
-    r"(?:\d{1,3}(?:\.\d{1,3}){3}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}"
+    r"(?:(?:\d{1,3}(?:\.\d{1,3}){3}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}"
     r"|\d{3}\.\d{3}[ .-]\d{4}|\d{3}[ -]\d{3}\.\d{4})(?![A-Za-z0-9])"
+    r"|\d{4}-\d{2}-\d{2}T\d)"
 )
+# A date that a time follows, as in 2024-05-01T10:00.
+_DATE_WITH_TIME = r"\d{4}-\d{2}-\d{2}(?=T\d{2})"
 # Groups of digits that may hold a card, with 13 digits or more. Its loop is
 # possessive, so that a long run needs no deep stack.
 _RUN = (
@@ -47,12 +52,12 @@ _RUN = (
 )
 _FIRST = ("email", "secret")
 _ANY = (
-    r"(?<![A-Za-z0-9])(?:"
+    rf"(?<![A-Za-z0-9])(?:{_DATE_WITH_TIME}|(?:"
     + "|".join([*(_PATTERNS[k] for k in _FIRST), _RUN, *(p for k, p in _PATTERNS.items() if k not in _FIRST)])
-    + r")(?![A-Za-z0-9])"
+    + r")(?![A-Za-z0-9]))"
 )
 _LAYOUTS = r"^(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})$"
-_HINT = r"[0-9]|@|password="
+_HINT = r"[0-9]|@|password=|AKIA"
 _DATE_FORMATS = {
     r"^\d{4}-": "yyyy-MM-dd",
     r"^\d{2}/": "dd/MM/yyyy",
@@ -61,6 +66,16 @@ _DATE_FORMATS = {
 # 270 * 271 days from 1900-01-01, to 2100-05-01.
 _DAY_MODULI = (270, 271)
 _FIRST_DAY = "1900-01-01"
+# Years of a date with the month first, 1900 to 2099, and its days from the 29th on.
+_FIRST_YEAR, _YEARS = 1900, 200
+_LATE_DAYS = tuple(
+    f"{month:02d}/{day}" for month in (1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12)
+    for day in (29, 30, 31) if day < 31 or month not in (4, 6, 9, 11)
+)
+
+
+def _keyed(key: str | Column) -> Column:
+    return key if isinstance(key, Column) else F.lit(key)
 
 
 def _symbol(value, modulus, base) -> Column:
@@ -88,7 +103,7 @@ def _spell(symbols: Column) -> Column:
     return F.array_join(F.transform(symbols, lambda s: F.char(s["base"] + s["v"])), "")
 
 
-def feistel(symbols: Column, key: str, tweak: str, invert: bool = False) -> Column:
+def feistel(symbols: Column, key: str | Column, tweak: str, invert: bool = False) -> Column:
     """The symbols permuted under ``key``; ``tweak`` keeps kinds of values apart."""
     half = (F.size(symbols) / 2).cast("int")
 
@@ -96,7 +111,7 @@ def feistel(symbols: Column, key: str, tweak: str, invert: bool = False) -> Colu
         values = F.array_join(F.transform(other, lambda s: s["v"].cast("string")), ",")
 
         def one(s: Column, j: Column) -> Column:
-            digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(tweak), i, j, values), 256)
+            digest = F.sha2(F.concat_ws("|", _keyed(key), F.lit(tweak), i, j, values), 256)
             step = F.conv(F.substring(digest, 1, 12), 16, 10).cast("long")
             return _symbol(F.pmod(s["v"] + (-step if invert else step), s["m"]), s["m"], s["base"])
 
@@ -116,7 +131,7 @@ def feistel(symbols: Column, key: str, tweak: str, invert: bool = False) -> Colu
     return F.concat(end.l, end.r)
 
 
-def _permute_chars(text: Column, key: str, tweak: str, invert: bool) -> Column:
+def _permute_chars(text: Column, key: str | Column, tweak: str, invert: bool) -> Column:
     return _spell(feistel(F.transform(_chars(text), _char_symbol), key, tweak, invert))
 
 
@@ -149,14 +164,14 @@ def _check_sum(digits: Column) -> Column:
     return F.aggregate(parts, F.lit(0), lambda total, v: total + v)
 
 
-def _card(text: Column, key: str, invert: bool) -> Column:
+def _card(text: Column, key: str | Column, invert: bool) -> Column:
     digits = _digits(text)
     body = _permute_chars(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card", invert)
     check = (10 - _check_sum(F.concat(body, F.lit("0"))) % 10) % 10
     return _into_format(text, F.concat(body, check.cast("string")))
 
 
-def _tail_digits(text: Column, n: int, key: str, tweak: str, invert: bool) -> Column:
+def _tail_digits(text: Column, n: int, key: str | Column, tweak: str, invert: bool) -> Column:
     """The last ``n`` digits permuted; digits before them, as a country code, stay."""
     digits = _digits(text)
     head = F.substring(digits, F.lit(1), F.length(digits) - n)
@@ -164,7 +179,7 @@ def _tail_digits(text: Column, n: int, key: str, tweak: str, invert: bool) -> Co
     return _into_format(text, F.concat(head, tail))
 
 
-def _octets(text: Column, key: str, invert: bool) -> Column:
+def _octets(text: Column, key: str | Column, invert: bool) -> Column:
     symbols = F.transform(F.split(text, r"\."), lambda o: _symbol(o, 256, 0))
     return F.array_join(
         F.transform(feistel(symbols, key, "ip", invert), lambda s: s["v"].cast("string")), "."
@@ -178,7 +193,7 @@ def _day(text: Column) -> Column:
     )
 
 
-def _date(text: Column, key: str, invert: bool) -> Column:
+def _date(text: Column, key: str | Column, invert: bool) -> Column:
     a, b = _DAY_MODULI
     n = F.datediff(_day(text), F.lit(_FIRST_DAY).cast("date"))
     out = feistel(F.array(_symbol(F.floor(n / b), a, 0), _symbol(n % b, b, 0)), key, "date", invert)
@@ -188,7 +203,54 @@ def _date(text: Column, key: str, invert: bool) -> Column:
     )
 
 
-def _email(text: Column, key: str, invert: bool) -> Column:
+def _us_day(text: Column) -> Column:
+    """The date with the month first, where reading the day first gives none; or null."""
+    day = F.when(
+        text.rlike(r"^\d{2}/") & _day(text).isNull(),
+        F.try_to_timestamp(text, F.lit("MM/dd/yyyy")).cast("date"),
+    )
+    return F.when(F.year(day).between(_FIRST_YEAR, _FIRST_YEAR + _YEARS - 1), day)
+
+
+def _us_date(text: Column, key: str | Column, invert: bool) -> Column:
+    """Such a date becomes such a date, so that it is read alike afterwards.
+
+    Its day is over 12. Days 13 to 28 occur in every month; later ones are
+    permuted among themselves, and the 29th of February among leap years.
+    """
+    day = _us_day(text)
+    year, month, of_month = F.year(day) - _FIRST_YEAR, F.month(day) - 1, F.dayofmonth(day)
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    usual = feistel(
+        F.array(_symbol(year, _YEARS, 0), _symbol(month, 12, 0), _symbol(of_month - 13, 16, 0)),
+        key, "us date", invert,
+    )
+    late = feistel(
+        F.array(
+            _symbol(year, _YEARS, 0),
+            _symbol(F.array_position(F.lit(list(_LATE_DAYS)), F.substring(text, 1, 5)) - 1, len(_LATE_DAYS), 0),
+        ),
+        key, "us late date", invert,
+    )
+    # 1904 is the first leap year of the range, 2096 the last.
+    leap = feistel(F.array(_symbol(year / 4 - 1, 49, 0)), key, "us leap date", invert)
+    spelled = lambda head, y: F.concat(head, F.lit("/"), y.cast("string"))
+    return (
+        F.when(
+            of_month <= 28,
+            spelled(
+                F.concat(two(usual[1]["v"] + 1), F.lit("/"), two(usual[2]["v"] + 13)),
+                usual[0]["v"] + _FIRST_YEAR,
+            ),
+        )
+        .when(month == 1, spelled(F.lit("02/29"), leap[0]["v"] * 4 + _FIRST_YEAR + 4))
+        .otherwise(
+            spelled(F.element_at(F.lit(list(_LATE_DAYS)), late[1]["v"] + 1), late[0]["v"] + _FIRST_YEAR)
+        )
+    )
+
+
+def _email(text: Column, key: str | Column, invert: bool) -> Column:
     """Local part and domain apart, so that equal domains stay linked; the last label stays."""
     local, domain = F.split_part(text, F.lit("@"), F.lit(1)), F.split_part(text, F.lit("@"), F.lit(2))
     last = F.regexp_extract(domain, r"\.[A-Za-z]+$", 0)
@@ -201,7 +263,7 @@ def _email(text: Column, key: str, invert: bool) -> Column:
     )
 
 
-def _secret(text: Column, key: str, invert: bool) -> Column:
+def _secret(text: Column, key: str | Column, invert: bool) -> Column:
     """Hexadecimal digits among themselves; of an access key all but its mark."""
     hexadecimal = F.transform(_chars(text), lambda c: _symbol(F.conv(c, 16, 10), 16, 0))
     as_hex = F.array_join(
@@ -223,7 +285,12 @@ def value_kind(text: Column) -> Column:
     octets = F.forall(F.split(text, r"\."), lambda o: o.cast("int") <= 255)
     return (
         F.when(text.contains("@"), "email")
-        .when(whole["date"], F.when(day.between(0, _DAY_MODULI[0] * _DAY_MODULI[1] - 1), "date"))
+        .when(
+            whole["date"],
+            F.when(day.between(0, _DAY_MODULI[0] * _DAY_MODULI[1] - 1), "date").when(
+                _us_day(text).isNotNull(), "us date"
+            ),
+        )
         .when(whole["ip"], F.when(octets, "ip"))
         .when(whole["ssn"], "ssn")
         .when(whole["phone"], "phone")
@@ -307,12 +374,13 @@ def _values_of_run(run: Column) -> Column:
     return _bind(F.regexp_extract_all(run, F.lit(r"[ -]?\d+"), F.lit(0)), cut)
 
 
-def pseudonym(text: Column, key: str, invert: bool = False) -> Column:
+def pseudonym(text: Column, key: str | Column, invert: bool = False) -> Column:
     """The value's pseudonym in its own format, or the value if it is not valid."""
     kind = value_kind(text)
     return F.coalesce(
         F.when(kind == "email", _email(text, key, invert))
         .when(kind == "date", _date(text, key, invert))
+        .when(kind == "us date", _us_date(text, key, invert))
         .when(kind == "ip", _octets(text, key, invert))
         .when(kind == "ssn", _tail_digits(text, 9, key, "ssn", invert))
         .when(kind == "phone", _tail_digits(text, 10, key, "phone", invert))
@@ -322,23 +390,31 @@ def pseudonym(text: Column, key: str, invert: bool = False) -> Column:
     )
 
 
-def pseudonymise(documents: DataFrame, key: str, invert: bool = False) -> DataFrame:
+def pseudonymise(documents: DataFrame, key: str | Column, invert: bool = False) -> DataFrame:
     """``documents`` with pseudonyms in ``text``, and ``n_values``, how many were set.
 
     Row by row, in the order of the input, no shuffle. A null text stays null
     with 0 values, an empty one empty. Repeated rows change alike. A column
-    named ``n_values`` is replaced; all others are carried on.
+    named ``n_values`` is replaced; all others are carried on. The key is read from
+    a table of one row, so that no plan, event log or page of the UI shows it.
     """
+    spark = documents.sparkSession
+    key_name, found_name, pairs_name = (
+        free_name(documents, n) for n in ("pii_key", "pii_found", "pii_pairs")
+    )
+    secret = spark.createDataFrame([(key,)], f"`{key_name}` string").scalar()
+    key = F.col(key_name)
     text = F.col("text").cast("string")
     found = F.when(text.rlike(_HINT), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0)))
     columns = [c for c in documents.columns if c not in ("text", "n_values")]
-    rows = documents.select(*columns, text.alias("text"), found.alias("__found"))
+    columns = [f"`{c}`" for c in columns]
+    rows = documents.select(*columns, text.alias("text"), found.alias(found_name))
     # Values are permuted where there are any; most rows only pass.
-    some = F.coalesce(F.size("__found"), F.lit(0)) > 0
+    some = F.coalesce(F.size(found_name), F.lit(0)) > 0
     pairs = F.flatten(
         F.zip_with(
             F.split("text", _ANY, -1),
-            "__found",
+            found_name,
             lambda gap, value: F.when(
                 value.rlike(r"^\d+[ -][\d -]+$") & (F.length(_digits(value)) >= 13),
                 F.concat(
@@ -347,15 +423,16 @@ def pseudonymise(documents: DataFrame, key: str, invert: bool = False) -> DataFr
             ).otherwise(F.array(F.struct(gap.alias("gap"), F.coalesce(value, F.lit("")).alias("value")))),
         )
     )
-    rows = rows.select(*columns, "text", F.when(some, pairs).alias("__pairs"))
-    some = F.col("__pairs").isNotNull()
+    rows = rows.select(*columns, "text", F.when(some, pairs).alias(pairs_name), secret.alias(key_name))
+    some = F.col(pairs_name).isNotNull()
     changed = F.array_join(
-        F.transform("__pairs", lambda p: F.concat(p["gap"], pseudonym(p["value"], key, invert))), ""
+        F.transform(pairs_name, lambda p: F.concat(p["gap"], pseudonym(p["value"], key, invert))), ""
     )
-    valid = F.size(F.filter("__pairs", lambda p: value_kind(p["value"]).isNotNull()))
+    valid = F.size(F.filter(pairs_name, lambda p: value_kind(p["value"]).isNotNull()))
     done = rows.select(
         *columns,
         F.when(some, changed).otherwise(F.col("text")).alias("text"),
         F.when(some, valid).otherwise(0).cast("long").alias("n_values"),
     )
-    return done.select(*documents.columns, *({"n_values"} - set(documents.columns)))
+    order = [f"`{c}`" for c in documents.columns]
+    return done.select(*order, *({"n_values"} - set(documents.columns)))

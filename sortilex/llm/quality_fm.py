@@ -153,6 +153,8 @@ class FactorisationMachine:
         """Logistic loss by AdaGrad over shuffled batches."""
         rng = np.random.default_rng(SEED)
         rate, penalty = 0.1, 1e-4
+        met = np.zeros(len(self.weights), bool)
+        met[np.unique(np.concatenate([*inputs, self.bins(stats).ravel()]))] = True
         seen_w, seen_v, seen_b = np.full_like(self.weights, 1e-6), np.full_like(self.vectors, 1e-6), 1e-6
         for _ in range(EPOCHS):
             order = rng.permutation(len(y))
@@ -172,6 +174,8 @@ class FactorisationMachine:
                 self.weights -= rate * grad_w / np.sqrt(seen_w)
                 self.vectors -= rate * grad_v / np.sqrt(seen_v)
                 self.bias -= rate * g.sum() / np.sqrt(seen_b)
+        # What no training row had still holds its random start.
+        self.vectors[~met] = 0
 
     def score(self, column: pa.Array) -> np.ndarray:
         """Per text the probability of good quality, in time linear in its inputs."""
@@ -208,7 +212,9 @@ def fit_quality(documents: DataFrame, labels: DataFrame, limit: int = MAX_LABELL
         sample.select("text", "label").mapInArrow(_feature_batches, kind).toArrow().combine_chunks()
     )
     if not len(table):
-        return FactorisationMachine(np.zeros((len(STATS), BINS)), 0.5)
+        machine = FactorisationMachine(np.zeros((len(STATS), BINS)), 0.5)
+        machine.vectors[:] = 0
+        return machine
     stats = np.array(table["stats"].to_pylist())
     inputs = [np.array(x, np.int64) for x in table["inputs"].to_pylist()]
     y = table["label"].to_numpy().astype(float)

@@ -19,8 +19,14 @@ from .simhash_vp import simhash_components
 from .suffix_dedup import remove_repeats
 from .toxicity import fit_toxicity, score_toxicity
 
-# A key for tests; a real run passes its own secret.
+# A key for tests. A real run sets its own secret in the session; Spark redacts
+# settings of such names in logs and pages.
 PII_KEY = "sortilex-example-key"
+PII_KEY_SETTING = "spark.sortilex.pii.secret"
+
+
+def pii_key(spark):
+    return spark.conf.get(PII_KEY_SETTING, PII_KEY)
 
 
 def _table(spark, sf_dir, name):
@@ -88,7 +94,7 @@ def toxicity(spark, sf_dir):
 
 def pii(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents")
-    return pseudonymise(documents, PII_KEY).select("doc_id", "text", "n_values")
+    return pseudonymise(documents, pii_key(spark)).select("doc_id", "text", "n_values")
 
 
 def simhash_dedup(spark, sf_dir):

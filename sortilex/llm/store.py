@@ -27,3 +27,11 @@ class Sent:
 
     def get(self):
         return cloudpickle.loads(self._bytes.value)
+
+
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have, in any case."""
+    taken, name = {c.lower() for c in df.columns}, base
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -3,6 +3,9 @@
 import re
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
+from sortilex.llm.store import stored
 
 SF = "/root/testdata/sf0.01"  # the smallest tables have 9 toxic labels to learn from, too few
 
@@ -28,3 +31,25 @@ def test_stages_in_turn(spark):
     assert {r["copy"] for r in rows} <= {0, 1}
     again = corpus_pipeline.run(spark, SF)
     assert sorted((r["doc_id"], r["copy"]) for r in again.collect()) == sorted((r["doc_id"], r["copy"]) for r in rows)
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark):
+    """Nulls, empty and very long texts, repeated rows and clashing names through every stage."""
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    long = " ".join(f"w{i % 4999}" for i in range(40_000))
+    texts = [None, "", " \n", "one", long, long, "mail jo@mail.example.com", "one"]
+    rows = [(i, t, None, s, None) for i, t, s in zip([0, 1, 2, 3, 4, 5, None, 3], texts, "aabcdefa", strict=True)]
+    odd = spark.createDataFrame(rows, documents.schema)
+    for name in ("size", "copies", "kept", "n", "score", "fate", "__source", "__found", "found"):
+        odd = odd.withColumn(name, F.lit("own"))
+    for empty, docs in ((False, odd), (True, odd.limit(0))):
+        own = docs.columns
+        docs = stored(docs, "odd")
+        for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            docs = stored(stage(spark, docs, SF), "odd")
+            assert docs.columns == (own if i < 4 else [*own, "copy"])
+            got = docs.collect()
+            if i < 4:
+                # One of the two long texts and one of the rows with id 3 go in the second stage.
+                assert len(got) == (0 if empty else 8 if i == 0 else 6)
+            assert all(r["size"] == r["kept"] == r["__found"] == "own" for r in got)
