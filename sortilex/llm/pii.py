@@ -78,6 +78,11 @@ def _keyed(key: str | Column) -> Column:
     return key if isinstance(key, Column) else F.lit(key)
 
 
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _symbol(value, modulus, base) -> Column:
     as_int = lambda x: (x if isinstance(x, Column) else F.lit(x)).cast("int")
     return F.struct(
@@ -127,8 +132,9 @@ def feistel(symbols: Column, key: str | Column, tweak: str, invert: bool = False
         F.slice(symbols, half + 1, F.size(symbols)).alias("r"),
     )
     order = (ROUNDS, 1, -1) if invert else (1, ROUNDS, 1)
-    end = F.aggregate(F.sequence(*map(F.lit, order)), start, round_)
-    return F.concat(end.l, end.r)
+    return F.aggregate(
+        F.sequence(*map(F.lit, order)), start, round_, lambda end: F.concat(end["l"], end["r"])
+    )
 
 
 def _permute_chars(text: Column, key: str | Column, tweak: str, invert: bool) -> Column:
@@ -195,12 +201,19 @@ def _day(text: Column) -> Column:
 
 def _date(text: Column, key: str | Column, invert: bool) -> Column:
     a, b = _DAY_MODULI
-    n = F.datediff(_day(text), F.lit(_FIRST_DAY).cast("date"))
-    out = feistel(F.array(_symbol(F.floor(n / b), a, 0), _symbol(n % b, b, 0)), key, "date", invert)
-    day = F.date_add(F.lit(_FIRST_DAY).cast("date"), out[0]["v"] * b + out[1]["v"])
-    return F.coalesce(
-        *(F.when(text.rlike(p), F.date_format(day, f)) for p, f in _DATE_FORMATS.items())
-    )
+    first = F.lit(_FIRST_DAY).cast("date")
+
+    def symbols(n: Column) -> Column:
+        return F.array(_symbol(F.floor(n / b), a, 0), _symbol(n % b, b, 0))
+
+    def spelled(day: Column) -> Column:
+        return F.coalesce(
+            *(F.when(text.rlike(p), F.date_format(day, f)) for p, f in _DATE_FORMATS.items())
+        )
+
+    out = feistel(_bind(F.datediff(_day(text), first), symbols), key, "date", invert)
+    day = _bind(out, lambda o: F.date_add(first, o[0]["v"] * b + o[1]["v"]))
+    return _bind(day, spelled)
 
 
 def _us_day(text: Column) -> Column:
@@ -218,36 +231,33 @@ def _us_date(text: Column, key: str | Column, invert: bool) -> Column:
     Its day is over 12. Days 13 to 28 occur in every month; later ones are
     permuted among themselves, and the 29th of February among leap years.
     """
-    day = _us_day(text)
-    year, month, of_month = F.year(day) - _FIRST_YEAR, F.month(day) - 1, F.dayofmonth(day)
     two = lambda n: F.lpad(n.cast("string"), 2, "0")
-    usual = feistel(
-        F.array(_symbol(year, _YEARS, 0), _symbol(month, 12, 0), _symbol(of_month - 13, 16, 0)),
-        key, "us date", invert,
-    )
-    late = feistel(
-        F.array(
-            _symbol(year, _YEARS, 0),
-            _symbol(F.array_position(F.lit(list(_LATE_DAYS)), F.substring(text, 1, 5)) - 1, len(_LATE_DAYS), 0),
-        ),
-        key, "us late date", invert,
-    )
-    # 1904 is the first leap year of the range, 2096 the last.
-    leap = feistel(F.array(_symbol(year / 4 - 1, 49, 0)), key, "us leap date", invert)
     spelled = lambda head, y: F.concat(head, F.lit("/"), y.cast("string"))
-    return (
-        F.when(
-            of_month <= 28,
-            spelled(
-                F.concat(two(usual[1]["v"] + 1), F.lit("/"), two(usual[2]["v"] + 13)),
-                usual[0]["v"] + _FIRST_YEAR,
-            ),
-        )
-        .when(month == 1, spelled(F.lit("02/29"), leap[0]["v"] * 4 + _FIRST_YEAR + 4))
-        .otherwise(
-            spelled(F.element_at(F.lit(list(_LATE_DAYS)), late[1]["v"] + 1), late[0]["v"] + _FIRST_YEAR)
+    late_days = F.lit(list(_LATE_DAYS))
+
+    def usual(out: Column) -> Column:
+        head = F.concat(two(out[1]["v"] + 1), F.lit("/"), two(out[2]["v"] + 13))
+        return spelled(head, out[0]["v"] + _FIRST_YEAR)
+
+    def late(out: Column) -> Column:
+        return spelled(F.element_at(late_days, out[1]["v"] + 1), out[0]["v"] + _FIRST_YEAR)
+
+    def permuted(day: Column) -> Column:
+        month, of_month = F.month(day) - 1, F.dayofmonth(day)
+        year = _symbol(F.year(day) - _FIRST_YEAR, _YEARS, 0)
+        early = F.array(year, _symbol(month, 12, 0), _symbol(of_month - 13, 16, 0))
+        place = F.array_position(late_days, F.substring(text, 1, 5)) - 1
+        others = F.array(year, _symbol(place, len(_LATE_DAYS), 0))
+        # 1904 is the first leap year of the range, 2096 the last.
+        leap = F.array(_symbol((F.year(day) - _FIRST_YEAR) / 4 - 1, 49, 0))
+        of_leap = lambda out: spelled(F.lit("02/29"), out[0]["v"] * 4 + _FIRST_YEAR + 4)
+        return (
+            F.when(of_month <= 28, _bind(feistel(early, key, "us date", invert), usual))
+            .when(month == 1, _bind(feistel(leap, key, "us leap date", invert), of_leap))
+            .otherwise(_bind(feistel(others, key, "us late date", invert), late))
         )
-    )
+
+    return _bind(_us_day(text), permuted)
 
 
 def _email(text: Column, key: str | Column, invert: bool) -> Column:
@@ -299,11 +309,6 @@ def value_kind(text: Column) -> Column:
     )
 
 
-def _bind(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _values_of_run(run: Column) -> Column:
     """Pairs ``(gap, value)`` that make up a run of groups of digits.
 
@@ -376,18 +381,20 @@ def _values_of_run(run: Column) -> Column:
 
 def pseudonym(text: Column, key: str | Column, invert: bool = False) -> Column:
     """The value's pseudonym in its own format, or the value if it is not valid."""
-    kind = value_kind(text)
-    return F.coalesce(
-        F.when(kind == "email", _email(text, key, invert))
-        .when(kind == "date", _date(text, key, invert))
-        .when(kind == "us date", _us_date(text, key, invert))
-        .when(kind == "ip", _octets(text, key, invert))
-        .when(kind == "ssn", _tail_digits(text, 9, key, "ssn", invert))
-        .when(kind == "phone", _tail_digits(text, 10, key, "phone", invert))
-        .when(kind == "secret", _secret(text, key, invert))
-        .when(kind == "card", _card(text, key, invert)),
-        text,
-    )
+
+    def of(kind: Column) -> Column:
+        return (
+            F.when(kind == "email", _email(text, key, invert))
+            .when(kind == "date", _date(text, key, invert))
+            .when(kind == "us date", _us_date(text, key, invert))
+            .when(kind == "ip", _octets(text, key, invert))
+            .when(kind == "ssn", _tail_digits(text, 9, key, "ssn", invert))
+            .when(kind == "phone", _tail_digits(text, 10, key, "phone", invert))
+            .when(kind == "secret", _secret(text, key, invert))
+            .when(kind == "card", _card(text, key, invert))
+        )
+
+    return F.coalesce(_bind(value_kind(text), of), text)
 
 
 def pseudonymise(documents: DataFrame, key: str | Column, invert: bool = False) -> DataFrame:
