@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import Sent
-from .words import mix
+from .words import mix, small_batches
 
 BITS_PER_ID = 16
 HASHES = 4
@@ -55,7 +55,7 @@ def maybe_among(rows: DataFrame, ids: DataFrame, key: str = "doc_id", keep: bool
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = sent.get()
-        for batch in batches:
+        for batch in small_batches(batches):
             column = batch[key].cast(pa.int64())
             found = np.array(column.is_valid())
             values = column.fill_null(0).to_numpy()

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import Sent
-from .words import byte_chunks, find_words, per_batch
+from .words import byte_chunks, find_words, per_batch, small_batches
 
 ORDER = 6
 DISCOUNT = 0.75
@@ -157,7 +157,7 @@ class Backoff:
 class WordMemory:
     """Evidence of the words that a task has met, up to a bound; then it starts anew."""
 
-    def __init__(self, limit: int = 1 << 21) -> None:
+    def __init__(self, limit: int = 1 << 19) -> None:
         self.limit = limit
         self.hashes, self.values = np.zeros(0, _U), np.zeros(0)
 
@@ -340,7 +340,7 @@ def drop_toxic(documents: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def keep(rows):
         fitted = sent.get()
-        for batch in rows:
+        for batch in small_batches(rows):
             yield batch.filter(pa.array(fitted.score(batch["text"]) < THRESHOLD))
 
     return documents.mapInArrow(keep, documents.schema)

@@ -98,6 +98,16 @@ def byte_chunks(
         first = last
 
 
+def small_batches(
+    batches: Iterator[pa.RecordBatch], limit: int = 4 * CHUNK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes, so that what a task makes of them is small."""
+    for batch in batches:
+        rows = max(1, int(batch.num_rows * limit / max(batch.nbytes, limit)))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 @dataclass
 class Words:
     """Words of several texts: byte ranges, and where each text's words begin."""
