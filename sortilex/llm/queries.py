@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .conversation_repair import repair_conversations
 from .conversation_sql import CONVERSATION_REPAIR, PREFIX_TRIE
 from .decontaminate import contaminated
+from .document_sql import NEAR_DUPLICATES, QUALITY_RULES
 from .license_scan import scan_licenses
 from .mixing import plan_mix
 from .near_dedup import near_duplicates
@@ -171,7 +172,9 @@ _MIX = r"""
 def llm_sql():
     """SQL of the queries whose results SQL can express; the others have tests of their own."""
     return {
+        "op2_minhash_near_dedup": NEAR_DUPLICATES,
         "op4_source_mixing": _MIX,
+        "op8_quality_rules": QUALITY_RULES,
         "op12_conversation_repair": CONVERSATION_REPAIR,
         "op13_conversation_prefix_trie": PREFIX_TRIE,
     }
