@@ -5,7 +5,9 @@ equals), so equal windows have the same gram at the same place. Neighbouring
 windows with one gram form a piece. Pieces of one gram are a bucket of suffixes:
 all that can be equal lies in one bucket. Pieces that occur twice as they are
 repeat as a whole; only buckets with different pieces have to be sorted, and
-only their pieces travel.
+only their pieces travel. A bucket too large for a task is divided: windows that hold
+the gram at like places share more bytes around it, and those bytes name smaller
+buckets.
 
 A task sorts one block of buckets at a time. Suffixes are ordered by their first
 64 bytes. Long ties are resolved in constant time each: for any two positions
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import stored
-from .words import byte_chunks, per_batch, prefix_hashes, range_hashes
+from .words import byte_chunks, mix, per_batch, prefix_hashes, range_hashes
 
 LENGTH = 400
 GRAM = 32
@@ -32,6 +34,7 @@ GRAMS = LENGTH - GRAM + 1
 PERIOD = 64
 BLOCK_BYTES = 1 << 20
 BUCKET_PIECES = 2_000
+WIDTHS = (256, 64, 16, 1)
 
 _U = np.uint64
 _PLACE_BITS = 31
@@ -267,35 +270,111 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    build = per_batch(
-        ["bucket", "content", "twice", "at", "window"],
-        [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()],
+def _gram_place(data: np.ndarray, bucket: int) -> int:
+    """Where the gram of a piece's bucket first stands in the piece."""
+    at = np.arange(GRAMS)
+    grams = range_hashes(prefix_hashes(data), at, at + GRAM).view(np.int64)
+    return int((grams == bucket).argmax())
+
+
+_PART_COLUMNS = (
+    "bucket long, content long, twice boolean, at long, windows long, "
+    "part long, same long, gram long, piece binary"
+)
+
+
+def _split_batches(width: int):
+    """Cuts pieces where their windows hold the gram at another multiple of ``width``.
+
+    Windows of a part hold their gram at one of ``width`` places, so all of them
+    share ``LENGTH - width + 1`` bytes around it, which name the part's bucket.
+    """
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole, flag = pa.int64(), pa.bool_()
+        build = per_batch(
+            ["bucket", "content", "twice", "at", "windows", "part", "same", "gram", "piece"],
+            [whole, whole, flag, whole, whole, whole, whole, whole, pa.binary()],
+        )
+        for batch in batches:
+            for row in batch.to_pylist():
+                data = np.frombuffer(row["piece"], np.uint8)
+                gram = row["gram"]
+                if gram is None:
+                    gram = _gram_place(data, row["bucket"])
+                slot = (gram - np.arange(len(data) - LENGTH + 1)) // width
+                at = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+                windows = np.diff(np.append(at, len(slot)))
+                sums = prefix_hashes(data)
+                low = slot[at] * width
+                # Relative to the gram, from the last window's begin to the first one's end.
+                shared = np.full(len(at), np.uint64(row["bucket"] % 2**64))
+                shared ^= range_hashes(sums, gram - low, gram - low - width + 1 + LENGTH)
+                part = mix(shared + mix(low.astype(_U), 41), 42)
+                stop = at + windows + LENGTH - 1
+                yield build(
+                    *(np.full(len(at), row[c]) for c in ("bucket", "content", "twice")),
+                    at,
+                    windows,
+                    part.view(np.int64),
+                    range_hashes(sums, at, stop).view(np.int64),
+                    gram - at,
+                    [row["piece"][a:b] if width > 1 else None for a, b in zip(at, stop, strict=True)],
+                )
+
+    return split
+
+
+def _sorted_blocks(pieces: DataFrame) -> DataFrame:
+    """Repeated windows of pieces whose buckets fit in a task each."""
+    return (
+        pieces.select("bucket", "content", "twice", "piece")
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_sort_batches, f"bucket long, content long, spans {_SPANS}")
     )
-    for batch in batches:
-        for row in batch.to_pylist():
-            data = np.frombuffer(row["piece"], np.uint8)
-            at = np.arange(len(data) - LENGTH + 1)
-            hashes = range_hashes(prefix_hashes(data), at, at + LENGTH).view(np.int64)
-            same = [np.full(len(at), row[c]) for c in ("bucket", "content", "twice")]
-            yield build(*same, at, hashes)
-
-
-def _crowded(pieces: DataFrame) -> DataFrame:
-    """Repeated windows of buckets too large for one task, by a count per window."""
-    windows = stored(
-        pieces.mapInArrow(
-            _window_batches, "bucket long, content long, twice boolean, at long, window long"
-        ),
-        "windows",
+
+
+def _whole(windows: str) -> Column:
+    span = F.struct(F.lit(0).cast("long").alias("begin"), F.col(windows).cast("long").alias("end"))
+    return F.array(span).alias("spans")
+
+
+def _divided(pieces: DataFrame, bucket_pieces: int, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
+    """Repeated windows of buckets too large for one task, from smaller buckets.
+
+    The pieces are cut into parts, and a part's bucket shares more than the gram.
+    Equal parts are settled by their number, buckets of different parts are
+    sorted, and those that are still too large are divided again. At a width of
+    one a part is a window and all of its bucket are equal, so this comes to an end.
+    """
+    width, *rest = widths
+    parts = stored(pieces.mapInArrow(_split_batches(width), _PART_COLUMNS), "parts")
+    alike = parts.groupBy("part", "same").agg(
+        ((F.count("*") > 1) | F.max("twice")).alias("twice"),
+        F.first("windows").alias("windows"),
+        F.first("gram").alias("gram"),
+        F.first("piece").alias("piece"),
     )
-    often = windows.groupBy("bucket", "window").agg(
-        F.count("*").alias("n"), F.max("twice").alias("any_twice")
+    alike = stored(alike.withColumnsRenamed({"part": "bucket", "same": "content"}), "alike")
+    found = alike.filter("twice").select("bucket", "content", _whole("windows"))
+    if rest:
+        sizes = alike.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+        mixed = stored(alike.join(sizes, "bucket"), "divided")
+        large = F.col("size") > bucket_pieces
+        found = found.unionByName(_sorted_blocks(mixed.filter(~large)))
+        hot = mixed.filter(large).select("bucket", "content", "twice", "gram", "piece")
+        if not hot.isEmpty():
+            found = found.unionByName(_divided(hot, bucket_pieces, tuple(rest)))
+    found = stored(found, "found").withColumnsRenamed({"bucket": "part", "content": "same"})
+    span = F.struct(
+        (F.col("at") + F.col("span.begin")).alias("begin"), (F.col("at") + F.col("span.end")).alias("end")
     )
-    span = F.struct(F.col("at").alias("begin"), (F.col("at") + 1).alias("end"))
     return (
-        windows.filter("not twice")
-        .join(often.filter("n > 1 or any_twice"), ["bucket", "window"])
+        parts.filter("not twice")
+        .select("bucket", "content", "at", "part", "same")
+        .join(found, ["part", "same"])
+        .select("bucket", "content", "at", F.explode("spans").alias("span"))
         .groupBy("bucket", "content")
         .agg(F.collect_set(span).alias("spans"))
     )
@@ -357,21 +436,14 @@ def repeated_spans(documents: DataFrame, bucket_pieces: int = BUCKET_PIECES) ->
         ),
         "cut",
     )
-    blocks = cut.filter("not hot").select("bucket", "content", "twice", "piece").distinct()
-    sorted_ = (
-        blocks.repartition("bucket")
-        .sortWithinPartitions("bucket")
-        .mapInArrow(_sort_batches, f"bucket long, content long, spans {_SPANS}")
-    )
-    crowded = _crowded(cut.filter("hot").select("bucket", "content", "twice", "piece").distinct())
-    whole = contents.filter("n > 1").select(
-        "bucket",
-        "content",
-        F.array(
-            F.struct(F.lit(0).cast("long").alias("begin"), F.col("place.windows").alias("end"))
-        ).alias("spans"),
-    )
-    repeated = stored(whole.unionByName(sorted_).unionByName(crowded), "repeated")
+    sorted_ = _sorted_blocks(cut.filter("not hot").distinct())
+    hot = cut.filter("hot").select("bucket", "content", "twice", "piece")
+    whole = contents.filter("n > 1").select("bucket", "content", _whole("place.windows"))
+    repeated = whole.unionByName(sorted_)
+    if not hot.isEmpty():
+        hot = hot.distinct().withColumn("gram", F.lit(None).cast("long"))
+        repeated = repeated.unionByName(_divided(hot, bucket_pieces))
+    repeated = stored(repeated, "repeated")
     at = F.struct(
         (F.col("start") + F.col("span.begin")).alias("begin"),
         (F.col("start") + F.col("span.end") + (LENGTH - 1)).alias("end"),
@@ -413,8 +485,9 @@ def remove_repeats(documents: DataFrame, bucket_pieces: int = BUCKET_PIECES) ->
     that repeat a doc_id count as texts of their own. A null doc_id is kept as
     such. An empty table gives no rows; other columns are not read.
 
-    Buckets of more than ``bucket_pieces`` different pieces are not sorted in
-    one task; there, windows are counted by hash, which Spark spreads.
+    Buckets of more than ``bucket_pieces`` different pieces are divided by more
+    of the bytes that their windows share, until each fits in a task; see
+    ``_divided``.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = documents.select(F.col("doc_id").cast("long"), text.alias("text"))

@@ -179,6 +179,22 @@ def test_suffix_dedup_equals_brute_force(spark, bucket_pieces):
     assert rows == repeats(texts)
 
 
+@pytest.mark.parametrize("bucket_pieces", [2000, 40])
+def test_suffix_dedup_of_a_passage_in_many_surroundings(spark, bucket_pieces):
+    """Buckets of 300 pieces that share nearly a whole window, so they divide down to the last width."""
+    rng = np.random.default_rng(3)
+    passage = " ".join(words(7, 100))[:392]
+    side = lambda: "".join("ab"[i] for i in rng.integers(0, 2, 14))
+    texts = [side() + passage + side() for _ in range(300)] + [side() + passage * 2 for _ in range(60)]
+    got = by_id(remove_repeats(table(spark, texts), bucket_pieces))
+    rows = [
+        (r["n_bytes"], r["n_bytes"] - len(r["kept"]), len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest())
+        for r in (got[i] for i in range(len(texts)))
+    ]
+    expected = repeats(texts)
+    assert rows == expected and len({r[1] for r in expected}) > 3
+
+
 def test_suffix_dedup_odd_rows(spark, odd, none):
     rows = remove_repeats(odd).collect()
     assert len(rows) == 8
