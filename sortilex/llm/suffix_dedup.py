@@ -349,6 +349,9 @@ def _divided(pieces: DataFrame, bucket_pieces: int, widths: tuple[int, ...] = WI
     one a part is a window and all of its bucket are equal, so this comes to an end.
     """
     width, *rest = widths
+    # A fixed number of tasks: by its bytes alone, little data would go to one.
+    tasks = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = pieces.repartition(tasks, "bucket", "content").distinct()
     parts = stored(pieces.mapInArrow(_split_batches(width), _PART_COLUMNS), "parts")
     alike = parts.groupBy("part", "same").agg(
         ((F.count("*") > 1) | F.max("twice")).alias("twice"),
@@ -441,7 +444,7 @@ def repeated_spans(documents: DataFrame, bucket_pieces: int = BUCKET_PIECES) ->
     whole = contents.filter("n > 1").select("bucket", "content", _whole("place.windows"))
     repeated = whole.unionByName(sorted_)
     if not hot.isEmpty():
-        hot = hot.distinct().withColumn("gram", F.lit(None).cast("long"))
+        hot = hot.withColumn("gram", F.lit(None).cast("long"))
         repeated = repeated.unionByName(_divided(hot, bucket_pieces))
     repeated = stored(repeated, "repeated")
     at = F.struct(
