@@ -226,6 +226,46 @@ def test_decontamination(spark, odd, none):
     assert drop_contaminated(odd, bench.limit(0)).columns == odd.columns
 
 
+def plain_matches(texts, items):
+    """For each document and item the best window of the item's length, if it reaches 0.8."""
+    runs = lambda w: collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
+    out = {}
+    for d, text in enumerate(texts):
+        own = text.lower().split()
+        for i, item in enumerate(items):
+            size, wanted = min(len(item), len(own)), runs(item)
+            for start in range(len(own) - size + 1):
+                window = runs(own[start : start + size])
+                value = (window & wanted).total() / (window | wanted).total()
+                if value >= 0.8 and value > out.get((d, i), (0,))[0]:
+                    out[d, i] = (value, start, size)
+    return out
+
+
+def test_decontamination_equals_brute_force(spark):
+    """Items with a share of their words changed, at places in longer texts or alone."""
+    rng = np.random.default_rng(9)
+    items = [words(200 + i, int(n)) for i, n in enumerate(rng.integers(8, 70, 12))]
+    items.append([*words(300, 6), *words(300, 6), *words(300, 6)])  # shingles that repeat
+    texts = []
+    for item in items:
+        for changes in (0, 1, 1, 2, 3):
+            own = list(item)
+            for at in rng.choice(len(own), changes, replace=False):
+                own[at] = "zz"
+            around = [words(int(rng.integers(1e6)), int(n)) for n in rng.integers(0, 40, 2)]
+            texts.append(" ".join([*around[0], *own, *around[1]]))
+        texts.append(" ".join(item[: int(0.9 * len(item))]))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    docs, expected = table(spark, texts), plain_matches(texts, items)
+    found = contaminated(docs, bench).collect()
+    assert len(found) == len(expected) > len(items)
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["first_word"], r["n_words"]) for r in found}
+    assert got == expected
+    kept = {r["doc_id"] for r in drop_contaminated(docs, bench).collect()}
+    assert kept == set(range(len(texts))) - {d for d, _ in expected} and kept
+
+
 def test_language_model_equals_brute_force(spark, odd):
     texts = [" ".join(words(i, 30, 40)) for i in range(40)] + [None, "", "Zq ü!"]
     got = by_id(score_texts(table(spark, texts), share_bytes=2000))
