@@ -4,6 +4,7 @@ import re
 
 import corpus_pipeline
 from pyspark.sql import functions as F
+from test_llm_operators import groups
 
 from sortilex.llm.store import stored
 
@@ -33,6 +34,24 @@ def test_stages_in_turn(spark):
     assert sorted((r["doc_id"], r["copy"]) for r in again.collect()) == sorted((r["doc_id"], r["copy"]) for r in rows)
 
 
+def test_near_dedup_keeps_the_least_of_each_plain_group(spark):
+    small = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = docs.orderBy("doc_id").collect()
+    component, _ = groups([r["doc_id"] for r in rows], [r["text"] for r in rows])
+    kept = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, small)
+    assert kept.columns == docs.columns
+    assert {r for r in kept.collect()} == {r for r in rows if component[r["doc_id"]] == r["doc_id"]}
+
+
+def test_toxicity_leaves_clean_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["toxicity"](spark, docs, SF).collect()}
+    labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
+    clean = {r["doc_id"] for r in labels if r["toxic"] == 0}
+    assert len(clean - kept) <= 0.02 * len(clean)
+
+
 def test_stages_take_odd_rows_and_empty_tables(spark):
     """Nulls, empty and very long texts, repeated rows and clashing names through every stage."""
     documents = spark.read.parquet(f"{SF}/documents.parquet")
