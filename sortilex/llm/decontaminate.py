@@ -22,17 +22,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import Sent
-from .words import SHINGLE_WORDS, byte_chunks, find_words, mix, per_batch, shingle_hashes
+from .id_filter import bloom_filter, maybe_among, passes
+from .store import Sent, free_name, stored
+from .words import SHINGLE_WORDS, byte_chunks, find_words, mix, shingle_hashes, small_batches
 
 BITS = 128
 BLOCKS = 16
 RADIUS = 40
 SIMILARITY = 0.8
 ITEMS_AT_ONCE = 2_048
+# Of the items' texts; their index takes some 20 times as much.
+INDEXED_BYTES = 1 << 20
+# Of the texts that one task compares with a block of items.
+GROUP_BYTES = 16 << 20
+SHINGLE_SALTS = 16
 
 _NEAR = RADIUS // BLOCKS
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.int64)
@@ -168,14 +174,158 @@ class ItemIndex:
                         yield rows.start + int(row), i, value, start, n
 
 
-def _indexes(benchmark: DataFrame) -> Iterator[Sent]:
-    """The benchmark in blocks of about ``ITEMS_AT_ONCE`` items, each indexed and sent."""
-    items = benchmark.filter("text is not null").select("item_id", F.col("text").cast("string"))
-    blocks = max(1, -(-items.count() // ITEMS_AT_ONCE))
-    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    for block in range(blocks):
-        rows = items.filter(place == block).orderBy("item_id", "text").collect()
-        yield Sent(benchmark.sparkSession, ItemIndex([r[0] for r in rows], [r[1] for r in rows]))
+def _items(benchmark: DataFrame) -> DataFrame:
+    """Each different text of the benchmark once, with its digest, stored."""
+    texts = benchmark.filter("text is not null").select(F.col("text").cast("string").alias("text"))
+    return stored(texts.distinct().select(F.sha2("text", 256).alias("item"), "text"), "items")
+
+
+def _sent_index(items: DataFrame) -> Sent | None:
+    """The index of all items for every task, or None if they are too many or too long."""
+    size = items.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    if size["n"] > ITEMS_AT_ONCE or (size["bytes"] or 0) > INDEXED_BYTES:
+        return None
+    rows = items.orderBy("item").collect()
+    return Sent(items.sparkSession, ItemIndex([r["item"] for r in rows], [r["text"] for r in rows]))
+
+
+_MATCH = "item string, similarity double, first_word long, n_words long"
+
+
+def _match_columns(index: ItemIndex, got: list[tuple[int, int, float, int, int]]) -> list[pa.Array]:
+    return [
+        pa.array([index.ids[g[1]] for g in got], pa.string()),
+        pa.array([g[2] for g in got], pa.float64()),
+        pa.array([g[3] for g in got], pa.int64()),
+        pa.array([g[4] for g in got], pa.int64()),
+    ]
+
+
+def _hashed_items(items: DataFrame) -> DataFrame:
+    """The items dealt to blocks, with their numbers of words and different shingles; stored."""
+    size = items.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    blocks = max(-(-size["n"] // ITEMS_AT_ONCE), -(-size["bytes"] // INDEXED_BYTES))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            n_words, shingles = [], []
+            for _, data, offsets in byte_chunks(batch["text"]):
+                words = find_words(data, offsets)
+                runs, first = shingle_hashes(words.hashes(), words.first)
+                n_words += words.counts.tolist()
+                for a, b in zip(first[:-1], first[1:], strict=True):
+                    shingles.append(np.unique(runs[a:b]).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["item"],
+                    batch["text"],
+                    pa.array(n_words, pa.int64()),
+                    pa.array(shingles, pa.list_(pa.int64())),
+                ],
+                ["item", "text", "n_words", "shingles"],
+            )
+
+    rows = items.mapInArrow(hashed, "item string, text string, n_words long, shingles array<long>")
+    block = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int")
+    return stored(rows.filter("n_words > 0").withColumn("block", block), "hashed-items")
+
+
+def _possible(documents: DataFrame, items: DataFrame, shingles: DataFrame) -> DataFrame:
+    """Documents ``(doc_id, digest, text, hits)`` of which some stretch may hold an item; stored.
+
+    ``hits`` are the different shingles that may be an item's. Items are taken by
+    powers of two of their numbers of shingles: what a window of the least of them
+    needs must stand within a window of the largest.
+    """
+    short = [r[0] for r in items.filter(F.col("n_words") < SHINGLE_WORDS).select("n_words").distinct().collect()]
+    runs = F.col("n_words") - (SHINGLE_WORDS - 1)
+    sizes = (
+        items.filter(runs > 0)
+        .groupBy(F.floor(F.log2(runs)).alias("power"))
+        .agg(F.min(runs).alias("least"), F.max(runs).alias("most"))
+        .collect()
+    )
+    stretches = [(r["least"], r["most"]) for r in sizes]
+    sent = Sent(documents.sparkSession, bloom_filter(shingles.select("shingle")))
+
+    def dense(hit: np.ndarray) -> bool:
+        total = np.concatenate([[0], np.cumsum(hit)])
+        for least, most in stretches:
+            width = min(most, len(hit))
+            needed = SIMILARITY / (1 + SIMILARITY) * (min(least, len(hit)) + least) - 1e-9
+            if (total[width:] - total[:-width]).max() >= needed:
+                return True
+        return False
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filled = sent.get()
+        for batch in small_batches(batches):
+            hits = {}
+            for rows, data, offsets in byte_chunks(batch["text"]):
+                words = find_words(data, offsets)
+                hashes = words.hashes()
+                for size in [*short, SHINGLE_WORDS]:
+                    runs, first = shingle_hashes(hashes, words.first, size)
+                    hit = passes(filled, runs)
+                    for row in np.unique(np.searchsorted(first, np.flatnonzero(hit), "right") - 1):
+                        own, marks = runs[first[row] : first[row + 1]], hit[first[row] : first[row + 1]]
+                        if size < SHINGLE_WORDS or dense(marks):
+                            hits.setdefault(rows.start + int(row), []).append(np.unique(own[marks]))
+            at = sorted(hits)
+            found = batch.take(pa.array(at, pa.int64()))
+            lists = [np.unique(np.concatenate(hits[i])).view(np.int64) for i in at]
+            yield found.append_column("hits", pa.array(lists, pa.list_(pa.int64())))
+
+    rows = documents.mapInArrow(find, "doc_id long, text string, hits array<long>")
+    return stored(rows.withColumn("digest", F.sha2("text", 256)), "possible")
+
+
+def _joined_matches(documents: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Matches ``(digest, item, ...)`` of different texts, stored, and ``(doc_id, digest)``.
+
+    The benchmark is in no one place: a filter of bounded size finds the documents
+    that may match, their shingles are joined with the items' to find the blocks of
+    items to compare with, and each block meets its texts in groups of bounded size.
+    Equal texts are compared once.
+    """
+    items = _hashed_items(items)
+    shingles = items.select(F.explode("shingles").alias("shingle"), "block").distinct()
+    shingles = stored(shingles, "item-shingles")
+    possible = _possible(documents, items, shingles)
+    texts = stored(possible.select("digest", "text", "hits").dropDuplicates(["digest"]), "texts")
+
+    # A shingle that many texts share is dealt out; the items' side is repeated for that.
+    deal = F.pmod(F.xxhash64("digest"), F.lit(SHINGLE_SALTS))
+    every = F.explode(F.sequence(F.lit(0), F.lit(SHINGLE_SALTS - 1))).alias("salt")
+    hits = texts.select(
+        "digest", F.octet_length("text").alias("bytes"), deal.cast("int").alias("salt"), F.explode("hits").alias("shingle")
+    )
+    pairs = hits.join(shingles.select("shingle", "block", every), ["shingle", "salt"])
+    pairs = stored(pairs.select("digest", "bytes", "block").distinct(), "pairs")
+
+    parts = F.ceil(F.sum("bytes") / GROUP_BYTES).cast("int")
+    blocks = pairs.groupBy("block").agg(F.greatest(parts, F.lit(1)).alias("parts"))
+    part = F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int")
+    left = (
+        pairs.join(blocks, "block")
+        .select("digest", "block", part.alias("part"))
+        .join(texts.select("digest", "text"), "digest")
+    )
+    right = items.join(blocks, "block").select(
+        "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "item", "text"
+    )
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        names = ["digest", "item", "similarity", "first_word", "n_words"]
+        right = right.sort_by("item")
+        index = ItemIndex(right["item"].to_pylist(), right["text"].to_pylist())
+        got = list(index.matches(left["text"])) if len(left) else []
+        digests = left["digest"].combine_chunks().take(pa.array([g[0] for g in got], pa.int64()))
+        return pa.table([digests.cast(pa.string()), *_match_columns(index, got)], names)
+
+    keys = ["block", "part"]
+    found = left.groupBy(keys).cogroup(right.groupBy(keys)).applyInArrow(compare, f"digest string, {_MATCH}")
+    return stored(found, "matches"), possible.select("doc_id", "digest")
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -186,42 +336,45 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     more; the best window is named, the first of equals. An item of fewer than
     five words must occur as it is. Null or empty texts and items match nothing;
     repeated rows match each; null ids come back as null. Other columns are not
-    read. Documents do not move: each block of items is sent to them.
+    read. Equal items are compared once. Up to ``ITEMS_AT_ONCE`` items of together
+    ``INDEXED_BYTES`` are sent to the documents, which do not move; more items are
+    joined with the documents that may hold one. The documents are read once.
     """
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    item_type = benchmark.schema["item_id"].dataType.simpleString()
-    found = None
-    for sent in _indexes(benchmark):
-
-        def batches(parts, sent=sent):
+    items = _items(benchmark)
+    sent = _sent_index(items)
+    if sent is None:
+        matches, places = _joined_matches(rows, items)
+        found = places.join(matches, "digest").drop("digest")
+    else:
+
+        def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = sent.get()
             for batch in parts:
                 got = list(index.matches(batch["text"]))
-                item = [index.ids[i] for _, i, *_ in got]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": batch["doc_id"].take(pa.array([g[0] for g in got], pa.int64())),
-                        "item_id": pa.array(item, None if item else pa.null()),
-                        "similarity": pa.array([g[2] for g in got], pa.float64()),
-                        "first_word": pa.array([g[3] for g in got], pa.int64()),
-                        "n_words": pa.array([g[4] for g in got], pa.int64()),
-                    }
-                ) if got else None
-
-        def some(parts, batches=batches):
-            return (b for b in batches(parts) if b is not None)
-
-        kind = f"doc_id long, item_id {item_type}, similarity double, first_word long, n_words long"
-        block = rows.mapInArrow(some, kind)
-        found = block if found is None else found.unionByName(block)
-    return found
+                if got:
+                    ids = batch["doc_id"].take(pa.array([g[0] for g in got], pa.int64()))
+                    names = ["doc_id", "item", "similarity", "first_word", "n_words"]
+                    yield pa.RecordBatch.from_arrays([ids, *_match_columns(index, got)], names)
+
+        found = rows.mapInArrow(batches, f"doc_id long, {_MATCH}")
+    # Rows of the benchmark that repeat a text match each.
+    ids = benchmark.select("item_id", F.sha2(F.col("text").cast("string"), 256).alias("item"))
+    columns = ("doc_id", "item_id", "similarity", "first_word", "n_words")
+    return found.join(ids, "item").select(*columns)
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows that match no item, with all their columns; one pass per block of items."""
-    for sent in _indexes(benchmark):
+    """The rows that match no item, with all their columns.
+
+    With more items than are sent to the documents, texts that match are found first
+    and then kept out; only documents that a filter of their hashes finds are moved.
+    """
+    items = _items(benchmark)
+    sent = _sent_index(items)
+    if sent is not None:
 
-        def clean(parts, sent=sent):
+        def clean(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = sent.get()
             for batch in parts:
                 keep = np.ones(batch.num_rows, bool)
@@ -229,5 +382,20 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
                     keep[row] = False
                 yield batch.filter(pa.array(keep))
 
-        documents = documents.mapInArrow(clean, documents.schema)
-    return documents
+        return documents.mapInArrow(clean, documents.schema)
+    rows = documents.select(F.lit(None).cast("long").alias("doc_id"), F.col("text").cast("string"))
+    matches, _ = _joined_matches(rows, items)
+    key, digest = free_name(documents, "text_hash"), free_name(documents, "text_digest")
+    bad = matches.select(F.col("digest").alias(digest)).distinct()
+    hashes = stored(bad.select(_hash_of(F.col(digest)).alias(key)), "matching")
+    own = documents.withColumn(key, _hash_of(F.sha2(F.col("text").cast("string"), 256)))
+    moved = maybe_among(own, hashes, key).withColumn(digest, F.sha2(F.col("text").cast("string"), 256))
+    moved = moved.join(bad, digest, "left_anti")
+    return maybe_among(own, hashes, key, keep=False).select(documents.columns).unionByName(
+        moved.select(documents.columns)
+    )
+
+
+def _hash_of(digest: Column) -> Column:
+    """The digest's first 60 bits as a number."""
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")

@@ -27,12 +27,8 @@ def _places(ids: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray
         yield (at >> _U(6)).astype(np.int64), _U(1) << (at & _U(63))
 
 
-def maybe_among(rows: DataFrame, ids: DataFrame, key: str = "doc_id", keep: bool = True) -> DataFrame:
-    """The rows whose long ``key`` may be one of ``ids``; with ``keep`` False the others.
-
-    No row whose key is among ``ids`` counts as one of the others. ``ids`` is a
-    stored table whose one column is ``key``; null keys are among none.
-    """
+def bloom_filter(ids: DataFrame) -> np.ndarray:
+    """The filter's words for a stored table of one long column; nulls are left out."""
     bits = 1 << 10
     while bits < min(MAX_BITS, BITS_PER_ID * ids.count()):
         bits *= 2
@@ -47,20 +43,35 @@ def maybe_among(rows: DataFrame, ids: DataFrame, key: str = "doc_id", keep: bool
             [pa.array(some), pa.array(words[some].view(np.int64))], ["word", "bits"]
         )
 
-    gathered = ids.select(F.col(key).cast("long")).mapInArrow(gather, "word long, bits long")
+    gathered = ids.mapInArrow(gather, "word long, bits long")
     table = gathered.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     filled = np.zeros(bits // 64, _U)
     filled[table["word"].to_numpy()] = table["bits"].to_numpy().view(_U)
-    sent = Sent(rows.sparkSession, filled)
+    return filled
+
+
+def passes(filled: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the 64-bit values may be among those of the filter."""
+    found = np.ones(len(values), bool)
+    for word, bit in _places(values, 64 * len(filled)):
+        found &= (filled[word] & bit) != 0
+    return found
+
+
+def maybe_among(rows: DataFrame, ids: DataFrame, key: str = "doc_id", keep: bool = True) -> DataFrame:
+    """The rows whose long ``key`` may be one of ``ids``; with ``keep`` False the others.
+
+    No row whose key is among ``ids`` counts as one of the others. ``ids`` is a
+    stored table whose one column is ``key``; null keys are among none.
+    """
+    sent = Sent(rows.sparkSession, bloom_filter(ids.select(F.col(key).cast("long"))))
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = sent.get()
+        filled = sent.get()
         for batch in small_batches(batches):
             column = batch[key].cast(pa.int64())
             found = np.array(column.is_valid())
-            values = column.fill_null(0).to_numpy()
-            for word, bit in _places(values, bits):
-                found &= (words[word] & bit) != 0
+            found &= passes(filled, column.fill_null(0).to_numpy())
             yield batch.filter(pa.array(found if keep else ~found))
 
     return rows.mapInArrow(test, rows.schema)

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sortilex.llm import id_filter, license_scan, mixing, pii, rule_ledger, toxicity
+from sortilex.llm import decontaminate, id_filter, license_scan, mixing, pii, rule_ledger, toxicity
 from sortilex.llm.components import connected_components
 from sortilex.llm.decontaminate import contaminated, drop_contaminated
 from sortilex.llm.id_filter import maybe_among
@@ -202,7 +202,15 @@ def test_suffix_dedup_odd_rows(spark, odd, none):
     assert remove_repeats(none).count() == 0
 
 
-def test_decontamination(spark, odd, none):
+@pytest.fixture(params=["sent", "joined"])
+def either_way(request, monkeypatch):
+    """Items sent to the documents, and items too many for that, in several blocks and groups."""
+    if request.param == "joined":
+        monkeypatch.setattr(decontaminate, "ITEMS_AT_ONCE", 3)
+        monkeypatch.setattr(decontaminate, "GROUP_BYTES", 2_000)
+
+
+def test_decontamination(spark, odd, none, either_way):
     items = [words(60 + i, n) for i, n in enumerate((40, 59, 15, 3, 5))]
     bench = spark.createDataFrame(
         [(i, " ".join(w)) for i, w in enumerate(items)] + [(90, None), (91, ""), (92, " ".join(items[0]))],
@@ -242,7 +250,7 @@ def plain_matches(texts, items):
     return out
 
 
-def test_decontamination_equals_brute_force(spark):
+def test_decontamination_equals_brute_force(spark, either_way):
     """Items with a share of their words changed, at places in longer texts or alone."""
     rng = np.random.default_rng(9)
     items = [words(200 + i, int(n)) for i, n in enumerate(rng.integers(8, 70, 12))]
@@ -266,6 +274,32 @@ def test_decontamination_equals_brute_force(spark):
     assert kept == set(range(len(texts))) - {d for d, _ in expected} and kept
 
 
+def test_decontamination_by_many_items(spark):
+    """Ten thousand items, one of them five hundred times over, against copies of one document."""
+    items = [words(1_000 + i, 12 + i % 40) for i in range(10_000)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(items)]
+    rows += [(20_000 + i, rows[7][1]) for i in range(500)]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    rng = np.random.default_rng(4)
+    expected, texts = set(), []
+    for d, i in enumerate(rng.choice(np.arange(8, 10_000), 300, replace=False).tolist()):
+        own = list(items[i])
+        if d % 3 == 1:  # the last word changed: one shingle of eight or more differs
+            own[-1] = "zz"
+        n = len(own) - 4
+        if d % 3 != 1 or (n - 1) / (n + 1) >= 0.8:
+            expected.add((d, i))
+        texts.append(" ".join([*words(50_000 + d, 30), *own, *words(60_000 + d, 30)]))
+    texts += ["all of it: " + rows[7][1]] * 40 + [" ".join(words(70_000 + i, 60)) for i in range(100)]
+    expected |= {(d, i) for d in range(300, 340) for i in (7, *range(20_000, 20_500))}
+    docs = table(spark, texts)
+    found = contaminated(docs, bench)
+    got = [(r["doc_id"], r["item_id"]) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+    kept = {r["doc_id"] for r in drop_contaminated(docs, bench).collect()}
+    assert kept == set(range(len(texts))) - {d for d, _ in expected}
+
+
 def test_language_model_equals_brute_force(spark, odd):
     texts = [" ".join(words(i, 30, 40)) for i in range(40)] + [None, "", "Zq ü!"]
     got = by_id(score_texts(table(spark, texts), share_bytes=2000))
