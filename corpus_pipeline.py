@@ -15,7 +15,7 @@ from sortilex.llm.mixing import mix_sources
 from sortilex.llm.near_dedup import drop_near_duplicates
 from sortilex.llm.pii import pseudonymise
 from sortilex.llm.queries import pii_key
-from sortilex.llm.store import stored
+from sortilex.llm.store import small_arrow_batches, stored
 from sortilex.llm.toxicity import drop_toxic, fit_toxicity
 
 
@@ -24,6 +24,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null or empty text is kept. Rows that repeat stay or go together.
     """
+    small_arrow_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return drop_toxic(docs, fit_toxicity(docs, labels))
 
@@ -34,6 +35,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Texts without words and rows without an id are kept. Of rows that repeat an id
     one stays, that of the least text.
     """
+    small_arrow_batches(spark)
     return drop_near_duplicates(docs)
 
 
@@ -43,6 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Null and empty texts are kept; items without words match nothing. Rows that
     repeat stay or go together.
     """
+    small_arrow_batches(spark)
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

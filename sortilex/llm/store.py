@@ -16,6 +16,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_arrow_batches(spark: SparkSession) -> None:
+    """Let Spark hand rows to Python in batches of some MB, if the session says nothing else.
+
+    By default a batch has 10,000 rows, which for texts can be more than a task's
+    share of memory, both in the JVM and in Python.
+    """
+    sizes = {"maxRecordsPerBatch": 1_000, "maxBytesPerBatch": 4 << 20}
+    for name, size in sizes.items():
+        setting = f"spark.sql.execution.arrow.{name}"
+        if spark.conf.get(setting, None) is None:
+            spark.conf.set(setting, str(size))
+
+
 class Sent:
     """A fitted model on its way to the tasks; ``get`` unpacks it there once per task.
 
