@@ -231,7 +231,8 @@ def _with_possible_partner(members: DataFrame, classes: DataFrame, documents: Da
     ``keys`` lists the buckets where the node is left.
     """
     nodes = stored(members.select(F.col("node").alias("doc_id")).distinct(), "nodes")
-    texts = _texts_of(nodes, documents)
+    # Stored, so that no task keeps two Python workers, one to filter and one to cut shingles.
+    texts = stored(_texts_of(nodes, documents), "texts")
     nodes = nodes.withColumnRenamed("doc_id", "node")
     own = (
         texts.mapInArrow(_shingle_batches, "node long, shingle long")
