@@ -32,14 +32,19 @@ def small_arrow_batches(spark: SparkSession) -> None:
 class Sent:
     """A fitted model on its way to the tasks; ``get`` unpacks it there once per task.
 
-    It goes as bytes, so that its class need not be installed on the executors.
+    It goes as bytes, so that its class need not be installed on the executors. Its
+    arrays travel beside it and are read in place, so a task holds them once; they
+    cannot be written to there.
     """
 
     def __init__(self, spark: SparkSession, model) -> None:
-        self._bytes = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+        arrays: list = []
+        body = cloudpickle.dumps(model, protocol=5, buffer_callback=arrays.append)
+        self._parts = spark.sparkContext.broadcast((body, [a.raw().tobytes() for a in arrays]))
 
     def get(self):
-        return cloudpickle.loads(self._bytes.value)
+        body, arrays = self._parts.value
+        return cloudpickle.loads(body, buffers=arrays)
 
 
 def free_name(df: DataFrame, base: str) -> str:
