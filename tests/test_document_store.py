@@ -141,3 +141,18 @@ def test_a_killed_recording_leaves_the_old_run(spark, tmp_path, monkeypatch):
         with pytest.raises(KeyboardInterrupt):
             record_metrics(metrics([(1, 1)]), "r1", path)
     assert sorted(map(repr, read_metrics(spark, path).collect())) == before
+
+
+def test_stored_rows_move_and_are_written_once(spark, tmp_path):
+    """A put shuffles and writes a whole text once, the replacing one the batch's and the kept ones."""
+    store = DocumentStore(spark, str(tmp_path / "s"), buckets=4)
+    work = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    before, texts = files(work), [(i, f"{i} " * 500) for i in range(400)]
+    store.put(docs(spark, texts))
+    assert store.put(docs(spark, [(i, "new " * 500) for i in range(0, 400, 4)] + [(7, None), (7, "b")])) == 4
+    got = dict(content(store))
+    assert len(got) == 400 and got[7] == "b"
+    assert all(got[i] == ("new " * 500 if i % 4 == 0 else t) for i, t in texts if i != 7)
+    # No second copy of a batch lies in the work folder.
+    rows = [spark.read.parquet(f).count() for f in files(work) - before]
+    assert sum(rows) == 0
