@@ -57,3 +57,18 @@ def test_label_coverage_counts_every_row(spark):
     row = label_coverage(docs, labels).first()
     assert tuple(row) == (5, 4, 3, 3)
     assert tuple(label_coverage(docs.limit(0), labels.limit(0)).first()) == (0, 0, 0, 0)
+
+
+def test_terms_are_summed_where_they_are(cut, models, plan):
+    """A document moves as one row of sums; its terms do not, nor are they hashed twice."""
+    found = driver.recomputed_probabilities(cut, models[0])
+    got = plan(found)
+    # Keys alone: by document, and nothing by term or by feature.
+    keys = [line.split("hashpartitioning(")[1].split("#")[0] for line in got.splitlines() if "hashpartitioning(" in line]
+    assert keys == ["doc_id"]
+    assert got.count("regexp_extract(") == 1
+    # Repeated terms count as often as they occur: "red red blue".
+    own = {r.doc_id: r.probability for r in models[0].transform(cut.filter("doc_id < 20")).collect()}
+    rows = {r.doc_id: r.p for r in found.collect()}
+    assert rows.keys() == own.keys()
+    assert all(abs(a - b) < 1e-9 for i, p in rows.items() for a, b in zip(p, own[i], strict=True))
