@@ -72,3 +72,16 @@ def test_terms_are_summed_where_they_are(cut, models, plan):
     rows = {r.doc_id: r.p for r in found.collect()}
     assert rows.keys() == own.keys()
     assert all(abs(a - b) < 1e-9 for i, p in rows.items() for a, b in zip(p, own[i], strict=True))
+
+
+def test_a_document_is_hashed_whole(spark, models, plan):
+    """Its terms are spread over rows after the hashing, as counts by feature."""
+    rows = [(0, "red " * 11 + "blue"), (1, "é"), (2, "  red   blue "), (3, ""), (4, None), (5, " ")]
+    cut = spark.createDataFrame(rows, "doc_id long, truncated_text string")
+    found = driver.recomputed_probabilities(cut, models[0])
+    operators = plan(found).split("\n(1) ")[1]
+    assert 0 < operators.index("UDF(") < operators.index("Generate")
+    own = {r.doc_id: r.probability for r in models[0].transform(cut).collect()}
+    got = {r.doc_id: r.p for r in found.collect()}
+    assert got.keys() == {0, 1, 2}
+    assert all(abs(a - b) < 1e-9 for i, p in got.items() for a, b in zip(p, own[i], strict=True))
