@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .id_filter import bloom_filter, maybe_among, passes
+from .id_filter import bloom_filter, parted_by, passes
 from .store import Sent, free_name, stored
 from .words import SHINGLE_WORDS, byte_chunks, find_words, mix, shingle_hashes, small_batches
 
@@ -389,11 +389,9 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     bad = matches.select(F.col("digest").alias(digest)).distinct()
     hashes = stored(bad.select(_hash_of(F.col(digest)).alias(key)), "matching")
     own = documents.withColumn(key, _hash_of(F.sha2(F.col("text").cast("string"), 256)))
-    moved = maybe_among(own, hashes, key).withColumn(digest, F.sha2(F.col("text").cast("string"), 256))
-    moved = moved.join(bad, digest, "left_anti")
-    return maybe_among(own, hashes, key, keep=False).select(documents.columns).unionByName(
-        moved.select(documents.columns)
-    )
+    moved, others = parted_by(own, hashes, key)
+    moved = moved.withColumn(digest, F.sha2(F.col("text").cast("string"), 256)).join(bad, digest, "left_anti")
+    return others.select(documents.columns).unionByName(moved.select(documents.columns))
 
 
 def _hash_of(digest: Column) -> Column:

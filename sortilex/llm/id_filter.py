@@ -29,8 +29,9 @@ def _places(ids: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray
 
 def bloom_filter(ids: DataFrame) -> np.ndarray:
     """The filter's words for a stored table of one long column; nulls are left out."""
+    needed = min(MAX_BITS, BITS_PER_ID * ids.count())
     bits = 1 << 10
-    while bits < min(MAX_BITS, BITS_PER_ID * ids.count()):
+    while bits < needed:
         bits *= 2
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,8 +65,20 @@ def maybe_among(rows: DataFrame, ids: DataFrame, key: str = "doc_id", keep: bool
     No row whose key is among ``ids`` counts as one of the others. ``ids`` is a
     stored table whose one column is ``key``; null keys are among none.
     """
-    sent = Sent(rows.sparkSession, bloom_filter(ids.select(F.col(key).cast("long"))))
+    return _filtered(rows, _sent_filter(ids, key), key, keep)
 
+
+def parted_by(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """Both sides of ``maybe_among``, those that may be among ``ids`` first, by one filter."""
+    sent = _sent_filter(ids, key)
+    return _filtered(rows, sent, key, True), _filtered(rows, sent, key, False)
+
+
+def _sent_filter(ids: DataFrame, key: str) -> Sent:
+    return Sent(ids.sparkSession, bloom_filter(ids.select(F.col(key).cast("long"))))
+
+
+def _filtered(rows: DataFrame, sent: Sent, key: str, keep: bool) -> DataFrame:
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled = sent.get()
         for batch in small_batches(batches):

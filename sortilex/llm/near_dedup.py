@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .components import connected_components
-from .id_filter import maybe_among
+from .id_filter import maybe_among, parted_by
 from .store import stored
 from .words import byte_chunks, find_words, mix, per_batch, shingle_hashes
 
@@ -306,7 +306,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     likely = stored(likely_pairs(stars, classes), "likely")
     links = confirmed_links(likely, documents).unionByName(same_id.select("a", "b"))
     links = stored(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "first")
-    parts = connected_components(links)
+    parts = stored(connected_components(links), "parts")
 
     placed = shared.select("key", "node").join(parts, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
@@ -333,7 +333,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
     more = confirmed_links(stored(likely_pairs(rest, classes), "likely"), documents)
     more = stored(more.select(F.col("a").alias("u"), F.col("b").alias("v")), "second")
-    parts = connected_components(links.unionByName(more))
+    # What is linked already goes on as stars, which need no further rounds.
+    stars = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    parts = connected_components(stars.unionByName(more))
 
     classed = (
         sketches.join(
@@ -363,12 +365,11 @@ def drop_near_duplicates(documents: DataFrame) -> DataFrame:
         found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("n")).filter("not kept or n > 1"),
         "dropped",
     )
-    listed = ids.select("doc_id")
-    others = maybe_among(documents, listed, keep=False)
+    among, others = parted_by(documents, ids.select("doc_id"))
     # A name that no column of the documents has.
     fate = "_" * (1 + max(map(len, documents.columns))) + "fate"
     fates = ids.select("doc_id", F.struct("kept", "n").alias(fate))
-    moved = maybe_among(documents, listed).join(fates, "doc_id", "left")
+    moved = among.join(fates, "doc_id", "left")
     alone = moved.filter(F.col(fate).isNull()).select(documents.columns)
     again = moved.filter(F.col(fate)["kept"] & (F.col(fate)["n"] > 1))
     order = W.partitionBy("doc_id").orderBy("text", F.xxhash64(F.to_json(F.struct(*documents.columns))))

@@ -126,6 +126,30 @@ def test_id_filter_passes_all_listed_ids(spark, monkeypatch):
     assert listed <= {r["doc_id"] for r in maybe_among(rows, ids).collect()}
 
 
+def test_id_filter_counts_its_ids_once_and_serves_both_sides(spark, monkeypatch):
+    """Every count is a job of the driver; their number must not follow that of the ids."""
+    rows = spark.range(5_000).selectExpr("id as doc_id", "'t' as text")
+    ids = rows.filter("doc_id % 2 = 0").select("doc_id")
+    counts, filters = [], []
+    count, build = type(ids).count, id_filter.bloom_filter
+    monkeypatch.setattr(type(ids), "count", lambda df: counts.append(df) or count(df))
+    monkeypatch.setattr(id_filter, "bloom_filter", lambda df: filters.append(df) or build(df))
+    among, others = id_filter.parted_by(rows, ids)
+    among, others = ({r["doc_id"] for r in side.collect()} for side in (among, others))
+    assert len(counts) == len(filters) == 1
+    assert set(range(0, 5_000, 2)) <= among and not among & others and len(among | others) == 5_000
+
+
+def test_near_duplicates_of_links_found_in_both_passes(spark):
+    """A chain whose ends share too little: the components of the first pass go on into the second."""
+    base = words(31, 400)
+    chain = [" ".join(words(40 + i, 6 * i) + base[6 * i :]) for i in range(8)]
+    texts = [t for t in chain for _ in range(2)] + [" ".join(words(99, 80))]
+    ids = [100 - 3 * i for i in range(len(texts))]
+    rows = near_duplicates(table(spark, texts, ids)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == groups(ids, texts)[0]
+
+
 def test_near_duplicates_odd_rows(spark, odd, none):
     rows = near_duplicates(odd).collect()
     assert len(rows) == 8
