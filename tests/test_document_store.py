@@ -1,6 +1,7 @@
 """Stored documents and the lists of attempts that count."""
 
 import pathlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -156,3 +157,20 @@ def test_stored_rows_move_and_are_written_once(spark, tmp_path):
     # No second copy of a batch lies in the work folder.
     rows = [spark.read.parquet(f).count() for f in files(work) - before]
     assert sum(rows) == 0
+
+
+def test_a_put_leaves_no_shuffled_rows_on_disk(spark, tmp_path):
+    dirs = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+
+    def shuffled():
+        return {f for d in dirs for f in pathlib.Path(d).rglob("shuffle_*.data")}
+
+    store, before = DocumentStore(spark, str(tmp_path / "s"), buckets=2), shuffled()
+    for _ in range(2):
+        # Rows that do not compress; the second put rewrites those of the first.
+        store.put(spark.range(20_000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 512).alias("text")))
+        deadline = time.monotonic() + 10
+        while (left := sum(f.stat().st_size for f in shuffled() - before)) > 500_000 and time.monotonic() < deadline:
+            time.sleep(0.1)
+        assert left <= 500_000
+    assert store.read().count() == 20_000
